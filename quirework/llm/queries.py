@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import markup, repetition, truncation
+from quirework.llm import language, markup, repetition, truncation
 from quirework.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +41,21 @@ def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_rates(read_table(spark, sf_dir, "generation_results")).withColumn("rate", F.round("rate", 6))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the pages whose label is missing, unusable or wrong, or that hold several languages."""
+    return language.relabelled(read_table(spark, sf_dir, "page_artifacts"), read_table(spark, sf_dir, "page_langs"))
+
+
+def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch in one language of every page, with its confidence."""
+    pages = read_table(spark, sf_dir, "page_artifacts")
+    judged = language.page_languages(pages, language.train(pages, read_table(spark, sf_dir, "page_langs")))
+    stretch = judged.select("doc_id", "page_num", F.posexplode("stretches").alias("stretch", "s"))
+    return stretch.select("doc_id", "page_num", "stretch", F.col("s.lang").alias("lang"), F.col("s.n_sentences").alias("n_sentences"), F.round("s.confidence", 4).alias("confidence")).distinct()
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p5_found, p5_stretches)}
 
 
 def oracle_sql() -> dict[str, str]:

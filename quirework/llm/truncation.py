@@ -118,10 +118,10 @@ def truncation(results: DataFrame) -> DataFrame:
         standing = standing | _at_limit(measure, slack)
     whole = ~F.col("open") & ~F.col("gap") & (F.col("chars") >= 200) & F.col("tokens").isNotNull()
     cost = rows.where(whole).groupBy("profile").agg(F.percentile_approx(F.col("tokens") / F.col("chars"), 0.5, 2000).alias("cost"), F.percentile_approx(F.col("tokens") / F.col("chars"), 0.9, 2000).alias("high"), F.count("*").alias("n_profile"))
-    overall = rows.where(whole).groupBy(F.lit(1).alias("one")).agg(F.percentile_approx(F.col("tokens") / F.col("chars"), 0.98, 2000).alias("any_cost"))
-    judged = rows.join(F.broadcast(cost), "profile", "left").withColumn("one", F.lit(1)).join(F.broadcast(overall), "one", "left")
+    dearest = rows.where(whole).agg(F.percentile_approx(F.col("tokens") / F.col("chars"), 0.98, 2000)).first()[0]  # one value
+    judged = rows.join(F.broadcast(cost), "profile", "left")
     # A profile whose values cost very different amounts mixes languages: there the dearer of them is the measure.
-    expected = F.when(F.col("n_profile") < 20, F.col("any_cost")).when(F.col("high") > 1.04 * F.col("cost"), F.col("high")).otherwise(F.col("cost"))
+    expected = F.when(F.coalesce("n_profile", F.lit(0)) < 20, F.lit(dearest)).when(F.col("high") > 1.04 * F.col("cost"), F.col("high")).otherwise(F.col("cost"))
     surplus = F.coalesce((F.col("tokens") - 3) > (1 + SURPLUS) * expected * F.col("chars"), F.lit(False)) & (F.col("chars") >= 80)
     reason = (
         F.when(F.col("open"), "open structure").when(F.col("gap"), "ends between blocks")
