@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import language, markup, repetition, truncation
+from quirework.llm import language, markup, repetition, scan_noise, truncation
 from quirework.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,16 @@ def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_rates(read_table(spark, sf_dir, "generation_results")).withColumn("rate", F.round("rate", 6))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of scan noise on every page."""
+    return scan_noise.page_noise(read_table(spark, sf_dir, "page_artifacts"))
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running text of every page in repaired paragraphs."""
+    return scan_noise.repair(read_table(spark, sf_dir, "page_artifacts")).distinct()
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of the pages whose label is missing, unusable or wrong, or that hold several languages."""
     return language.relabelled(read_table(spark, sf_dir, "page_artifacts"), read_table(spark, sf_dir, "page_langs"))
@@ -55,7 +65,7 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p5_found, p5_stretches)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches)}
 
 
 def oracle_sql() -> dict[str, str]:
