@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import language, markup, repetition, scan_noise, truncation
+from quirework.llm import language, leakage, markup, repetition, scan_noise, truncation
 from quirework.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,8 +64,18 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretch.select("doc_id", "page_num", "stretch", F.col("s.lang").alias("lang"), F.col("s.n_sentences").alias("n_sentences"), F.round("s.confidence", 4).alias("confidence")).distinct()
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the test items they give away."""
+    return leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest run and coverage of every leaked item in every document."""
+    return leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).withColumn("coverage", F.round("coverage", 6))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p7_found, p7_coverage)}
 
 
 def oracle_sql() -> dict[str, str]:
