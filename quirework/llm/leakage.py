@@ -201,9 +201,9 @@ def scan(texts: list[str | None], units: Units) -> list[tuple[int, int, int, flo
     return out
 
 
-def _blocks(items: DataFrame) -> Iterator[Units]:
+def unit_blocks(items: DataFrame, fields: tuple[str, ...] = ("passage", "question")) -> Iterator[Units]:
     """The test material in blocks of at most about BLOCK_CHARS characters; equal units are merged within a block."""
-    longs = items.select("item_id", F.explode(F.array("passage", "question")).alias("unit")).where(F.length(F.trim("unit")) > 0)
+    longs = items.select("item_id", F.explode(F.array(*fields)).alias("unit")).where(F.length(F.trim("unit")) > 0)
     total = longs.agg(F.coalesce(F.sum(F.length("unit")), F.lit(0))).first()[0]
     n = total // BLOCK_CHARS + 1
     for block in range(n):
@@ -220,7 +220,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     out = None
-    for units in _blocks(items):
+    for units in unit_blocks(items):
         shared = spark.sparkContext.broadcast(units)  # bounded by BLOCK_CHARS
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:

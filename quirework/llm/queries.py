@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import language, leakage, markup, repetition, scan_noise, truncation
+from quirework.llm import language, leakage, markup, repetition, scan_noise, subjects, truncation
 from quirework.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,8 +74,23 @@ def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).withColumn("coverage", F.round("coverage", 6))
 
 
+def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels, areas, items = (read_table(spark, sf_dir, t) for t in ("documents", "subject_labels", "subjects", "eval_items"))
+    return subjects.document_subjects(documents, labels, areas, items)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects that hold at least a fifth of a document."""
+    return _shares(spark, sf_dir).where(F.col("share") >= subjects.SHARE).select("doc_id", "subject").distinct()
+
+
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Make-up of the corpus by subject."""
+    return subjects.composition(_shares(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p7_found, p7_coverage)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p7_found, p7_coverage, p8_found, p8_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
