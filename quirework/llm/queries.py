@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import language, leakage, markup, repetition, scan_noise, subjects, truncation
+from quirework.llm import language, leakage, markup, packing, repetition, scan_noise, subjects, truncation
 from quirework.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,16 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretch.select("doc_id", "page_num", "stretch", F.col("s.lang").alias("lang"), F.col("s.n_sentences").alias("n_sentences"), F.round("s.confidence", 4).alias("confidence")).distinct()
 
 
+def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of every container and the documents or pieces in them."""
+    return packing.pack(packing.token_sizes(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "containers"))
+
+
+def p6_fill_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unused space of every container."""
+    return packing.fill_rates(p6_packed(spark, sf_dir)).withColumn("unused_share", F.round("unused_share", 6))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the test items they give away."""
     return leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
@@ -90,7 +100,7 @@ def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p7_found, p7_coverage, p8_found, p8_composition)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p6_packed, p6_fill_rates, p7_found, p7_coverage, p8_found, p8_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
