@@ -15,7 +15,7 @@ any size. Nothing about documents is collected.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -160,18 +160,18 @@ def _windows(hits: list[tuple[int, int]], length: int, size: int) -> list[tuple[
 FOUND_SCHEMA = "doc_id bigint, item_id bigint, run_words int, coverage double"
 
 
-def scan(texts: list[str | None], units: Units) -> list[tuple[int, int, int, float]]:
-    """(text, unit, longest run, coverage) of every text and unit that share a seed."""
+def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int, float]]:
+    """(text, unit, longest run, coverage) of every text, given as its words, and unit that share a seed."""
     get = units.vocabulary.get
-    flat: list[int] = []
+    flat: list[int | None] = []
     ends = []
-    for text in texts:
-        flat += [get(w, 0) for w in words_of(text)]
-        flat += [0]
+    for words in texts:
+        flat += map(get, words)
+        flat.append(None)
         ends.append(len(flat))
     if not len(units.hashes) or len(flat) < SEED_WORDS:
         return []
-    ids = np.array(flat, np.int64)
+    ids = np.nan_to_num(np.array(flat, np.float64)).astype(np.int64)
     known = (ids > 0).astype(np.int8)
     full = np.flatnonzero(sum(known[k : len(ids) - SEED_WORDS + 1 + k] for k in range(SEED_WORDS)) == SEED_WORDS)
     hashes = seed_hashes(ids)[full]
@@ -227,7 +227,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
             block = shared.value
             for part in batches:
                 doc_ids = part["doc_id"].tolist()
-                rows = [(doc_ids[d], item, run, coverage) for d, u, run, coverage in scan(part["text"].tolist(), block) if run >= RUN_WORDS for item in block.items[u]]
+                rows = [(doc_ids[d], item, run, coverage) for d, u, run, coverage in scan(map(words_of, part["text"]), block) if run >= RUN_WORDS for item in block.items[u]]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run_words", "coverage"])
 
         found = documents.select("doc_id", "text").where("text is not null").mapInPandas(run, FOUND_SCHEMA)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -53,10 +54,9 @@ FEATURES = "doc_id bigint, words array<int>, ends array<int>"
 def _without_leaks(texts: list[str | None], units: list[leakage.Units]) -> list[list[list[str]]]:
     """Words of every paragraph of running text, without what is pasted from test items."""
     pages = [[leakage.words_of(p) for p in paragraphs(t)] if t else [] for t in texts]
-    flat = [" ".join(w for p in page for w in p) for page in pages] if units else []
     for block in units:
         leaked: dict[int, list[int]] = {}
-        for doc, unit, run, _ in leakage.scan(flat, block):
+        for doc, unit, run, _ in leakage.scan((list(chain.from_iterable(page)) for page in pages), block):
             if run >= leakage.RUN_WORDS:
                 leaked.setdefault(doc, []).append(unit)
         for doc, found in leaked.items():
@@ -64,6 +64,9 @@ def _without_leaks(texts: list[str | None], units: list[leakage.Units]) -> list[
             for words in pages[doc]:
                 ids = [block.vocabulary.get(w, 0) for w in words]
                 pasted = np.zeros(len(words), bool)
+                if np.count_nonzero(ids) < leakage.SEED_WORDS:
+                    kept.append(words)
+                    continue
                 for unit in found:
                     for i, _, n in leakage.tiles(ids, block.ids[unit].tolist(), leakage.SEED_WORDS - 1):
                         pasted[i : i + n] = True
@@ -78,6 +81,14 @@ def _without_leaks(texts: list[str | None], units: list[leakage.Units]) -> list[
     return pages
 
 
+class _Buckets(dict):
+    """Bucket of every word met so far."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = zlib.crc32(word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+        return found
+
+
 def features(documents: DataFrame, items: DataFrame | None) -> DataFrame:
     """Word buckets of every document's running text by paragraph: doc_id, words, ends. Texts without any have no row."""
     spark = documents.sparkSession
@@ -85,17 +96,13 @@ def features(documents: DataFrame, items: DataFrame | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(blocks)  # test material; see leakage.BLOCK_CHARS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buckets: dict[str, int] = {}
+        buckets = _Buckets()
         for part in batches:
             rows = []
             for doc, page in zip(part["doc_id"].tolist(), _without_leaks(part["text"].tolist(), shared.value)):
                 words, ends = [], []
                 for paragraph in page:
-                    for w in paragraph:
-                        b = buckets.get(w)
-                        if b is None:
-                            b = buckets[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
-                        words.append(b)
+                    words += map(buckets.__getitem__, paragraph)
                     if paragraph:
                         ends.append(len(words))
                 if ends:
@@ -140,24 +147,41 @@ class Model:
         say = np.clip((most - CONCENTRATED[0]) / (CONCENTRATED[1] - CONCENTRATED[0]), 0, 1) * total / (total + 3.0)
         self.weight = ((weight.mean(axis=1, keepdims=True) - weight) * say[:, None]).astype(np.float32)
 
-    def paragraph_scores(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        begins = np.concatenate([[0], ends[:-1]])
-        return np.add.reduceat(self.weight[words], begins, axis=0).astype(np.float64)
-
-    def mixture(self, scores: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shares of the subjects in a document, and each paragraph's posterior."""
-        k = scores.shape[1]
-        theta = np.full(k, 1.0 / k)
-        scaled = scores / self.scale
-        scaled -= scaled.max(axis=1, keepdims=True)
-        like = np.exp(scaled)
-        part = size / size.sum()
+    def judge(self, batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores and posterior of every paragraph of a batch, and every document's shares of the subjects."""
+        scores = np.add.reduceat(self.weight[batch.words], batch.begins, axis=0).astype(np.float64)
+        like = scores / self.scale
+        like = np.exp(like - like.max(axis=1, keepdims=True))
+        part = batch.size / np.add.reduceat(batch.size, batch.first)[batch.owner]
+        theta = np.full((len(batch.first), scores.shape[1]), 1.0 / scores.shape[1])
+        post = like
         for _ in range(MIXTURE_ROUNDS):
-            post = like * theta
+            post = like * theta[batch.owner]
             post /= post.sum(axis=1, keepdims=True)
-            theta = part @ post + 1e-6
-            theta /= theta.sum()
-        return theta, post
+            theta = np.add.reduceat(post * part[:, None], batch.first, axis=0) + 1e-6
+            theta /= theta.sum(axis=1, keepdims=True)
+        return scores, post, theta
+
+
+class Batch:
+    """Words of many documents in one array, with the paragraphs and documents they belong to."""
+
+    def __init__(self, part: pd.DataFrame) -> None:
+        words, ends = part["words"].tolist(), part["ends"].tolist()
+        self.words = np.concatenate(words)
+        sizes = [np.diff(e, prepend=0) for e in ends]
+        self.size = np.concatenate(sizes).astype(np.int64)
+        self.begins = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+        count = np.array([len(x) for x in sizes])
+        self.owner = np.repeat(np.arange(len(count)), count)
+        self.first = np.concatenate([[0], np.cumsum(count)[:-1]])
+
+
+def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Batch]]:
+    for part in parts:
+        for at in range(0, len(part), 2000):
+            piece = part.iloc[at : at + 2000]
+            yield piece, Batch(piece)
 
 
 def _count(rows: DataFrame, run, n_subjects: int) -> np.ndarray:
@@ -191,7 +215,7 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
         acc = np.zeros((BUCKETS, len(index)))
         for part in batches:
             for words, named in zip(part["words"], part["named"]):
-                acc[:, index[named[0]]] += np.bincount(words, minlength=BUCKETS)
+                np.add.at(acc, (words, index[named[0]]), 1)
         yield _cells(acc)
 
     base = _count(labelled.where("not held and size(named) = 1"), of_labels, len(names))
@@ -204,20 +228,12 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
             known_model = shared.value
             n = len(known_model.subjects)
             acc = np.zeros(BUCKETS * n)
-            for part in batches:
-                cells, weights = [], []
-                for words, ends in zip(part["words"], part["ends"]):
-                    size = np.diff(np.concatenate([[0], ends]))
-                    scores = known_model.paragraph_scores(words, ends)
-                    _, post = known_model.mixture(scores, size)
-                    top = post.argmax(axis=1)
-                    sure = post[np.arange(len(top)), top] > 0.5
-                    mine = np.repeat(top, size)
-                    weight = np.repeat(np.where(sure, post[np.arange(len(top)), top], 0.0), size)
-                    cells.append(words.astype(np.int64) * n + mine)
-                    weights.append(weight)
-                if cells:
-                    acc += np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=len(acc))
+            for _, batch in _batches(batches):
+                _, post, _ = known_model.judge(batch)
+                top = post.argmax(axis=1)
+                weight = post[np.arange(len(top)), top]
+                weight = np.where(weight > 0.5, weight, 0.0)
+                acc += np.bincount(batch.words.astype(np.int64) * n + np.repeat(top, batch.size), np.repeat(weight, batch.size), minlength=len(acc))
             yield _cells(acc)
 
         counts = _count(feats.select("words", "ends"), expected, len(names))
@@ -235,13 +251,13 @@ def _fit_scale(held: DataFrame, model: Model, index: dict[str, int]) -> float:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loss = np.zeros(len(_SCALES))
-        for part in batches:
-            for words, ends, named in zip(part["words"], part["ends"], part["named"]):
-                scores = shared.value.paragraph_scores(words, ends)
-                for k, scale in enumerate(_SCALES):
-                    s = scores / scale
-                    top = s.max(axis=1)
-                    loss[k] += np.minimum(top + np.log(np.exp(s - top[:, None]).sum(axis=1)) - s[:, index[named[0]]], 5.0).sum()
+        for part, batch in _batches(batches):
+            scores, _, _ = shared.value.judge(batch)
+            right = np.array([index[named[0]] for named in part["named"]])[batch.owner]
+            for k, scale in enumerate(_SCALES):
+                s = scores / scale
+                top = s.max(axis=1)
+                loss[k] += np.minimum(top + np.log(np.exp(s - top[:, None]).sum(axis=1)) - s[np.arange(len(s)), right], 5.0).sum()
         yield pd.DataFrame({"k": range(len(_SCALES)), "loss": loss})
 
     losses = held.select("words", "ends", "named").mapInPandas(run, "k int, loss double").groupBy("k").agg(F.sum("loss").alias("loss")).collect()
@@ -255,10 +271,8 @@ def _fit_curves(held: DataFrame, model: Model) -> np.ndarray:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.zeros((n, steps + 1, 2))
-        for part in batches:
-            for words, ends, named in zip(part["words"], part["ends"], part["named"]):
-                size = np.diff(np.concatenate([[0], ends]))
-                theta, _ = shared.value.mixture(shared.value.paragraph_scores(words, ends), size)
+        for part, batch in _batches(batches):
+            for theta, named in zip(shared.value.judge(batch)[2], part["named"]):
                 yes = np.isin(shared.value.subjects, named).astype(int)
                 table[np.arange(n), np.rint(theta * steps).astype(int), yes] += 1
         s, b, y = np.nonzero(table)
@@ -292,18 +306,19 @@ def subject_shares(feats: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for part in batches:
-            rows = []
-            for doc, words, ends in zip(part["doc_id"].tolist(), part["words"], part["ends"]):
-                size = np.diff(np.concatenate([[0], ends]))
-                scores = known.paragraph_scores(words, ends)
-                if (scores.max(axis=1) - scores.mean(axis=1)).max() < EVIDENCE:
-                    continue
-                theta, _ = known.mixture(scores, size)
-                for k in np.flatnonzero(theta >= 0.05):
-                    a, b = known.curves[k]
-                    rows.append((doc, known.subjects[k], float(theta[k]), float(1 / (1 + np.exp(-np.clip(a * theta[k] + b, -30, 30)))), int(size.sum())))
-            yield pd.DataFrame(rows, columns=["doc_id", "subject", "share", "probability", "n_words"])
+        a, b = known.curves.T
+        for part, batch in _batches(batches):
+            scores, _, theta = known.judge(batch)
+            lead = np.maximum.reduceat(scores.max(axis=1) - scores.mean(axis=1), batch.first)
+            doc, subject = np.nonzero((theta >= 0.05) & (lead >= EVIDENCE)[:, None])
+            share = theta[doc, subject]
+            yield pd.DataFrame(
+                {
+                    "doc_id": part["doc_id"].to_numpy()[doc], "subject": np.array(known.subjects, object)[subject], "share": share,
+                    "probability": 1 / (1 + np.exp(-np.clip(a[subject] * share + b[subject], -30, 30))),
+                    "n_words": np.add.reduceat(batch.size, batch.first)[doc],
+                }
+            )
 
     return feats.mapInPandas(run, SHARES_SCHEMA)
 
