@@ -13,14 +13,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.html.prompt import ALLOWED_ATTRIBUTES, ALLOWED_TAGS
-from quirework.html.tree import BLOCK, RAW_TEXT, Node, parse
+from quirework.html.tree import BLOCK, Node, parse
 
 # Further element names of HTML, for literal tags shown as text.
 _HTML_NAMES = frozenset(
@@ -43,19 +42,19 @@ _LITERAL_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*(?::[a-zA-Z]+)?)((?:\s[^<>]*
 _SIGNS: tuple[tuple[str, re.Pattern[str]], ...] = (
     ("wiki", re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|(?<![\w'])'{2,5}(?=[^\s'])[^'\n]+?[^\s']'{2,5}(?!\w)|^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$|^\{\|[^\n]*$|^\|[}-][^\n|]*$", re.M)),
     ("latex", re.compile(r"(?<![\w\\:])\\(?:begin|end|[a-zA-Z]+\*?)[ \t]*(?:\[[^\]\n]*\])?\{|(?<![\w\\:/])\\(?:[a-zA-Z]{3,}|[a-z]{2})(?![\w\\/])")),
-    ("bbcode", re.compile(r"\[(b|i|u|s|url|img|quote|code|list|size|color|center|font|spoiler|sub|sup)(?:=[^\]\n]*)?\].*?\[/\1\]", re.I | re.S)),
+    ("bbcode", re.compile(r"\[(b|i|u|s|url|img|quote|code|list|size|color|center|font|spoiler|sub|sup)(?:=[^\]\n]{0,200})?\].{0,5000}?\[/\1\]", re.I | re.S)),
     ("directive", re.compile(r"^\.\. [a-z-]+::|^#\+[A-Za-z_]+:|^h[1-6]\. \S|:[a-z]+:`[^`\n]+`", re.M)),
 )
 #: Markdown signs; foreign in HTML, and in markdown where they are escaped.
-_EMPHASIS = re.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])[^*\n]+?(?<=[^\s*])\1(?![\w*])|(?<![\w_])_{2,3}(?=[^\s_])[^\n]+?(?<=[^\s_])_{2,3}(?![\w_])")
+_EMPHASIS = re.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])[^*\n]{1,400}?(?<=[^\s*])\1(?![\w*])|(?<![\w_])_{2,3}(?=[^\s_])[^\n]{1,400}?(?<=[^\s_])_{2,3}(?![\w_])")
 _MARKDOWN_SIGNS = re.compile(
     r"(?<!~)~~(?=\S)[^~\n]+~~(?!~)|!?\[[^\[\]\n]*\]\((?:https?:|#|/|[\w./-]+\.\w{2,5})[^()\s]*\)|(?<!`)`[^`\n]+`(?!`)|^```|^[ \t]*#{1,6} \S|^[ \t]*>[ \t]+\S|^[ \t]*[*+] \S"
     r"|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|[ \t:|-]*$|\[\^[\w-]+\]|^[^\n]+\n[=]{3,}[ \t]*$", re.M
 )
-_TEX_DELIMITERS = re.compile(r"\\\[.+?\\\]|\\\(.+?\\\)|\$\$[^$]+\$\$|(?<![\w$])\$(?=\S)[^$\n]{0,80}?(?:\\[a-zA-Z]|[\^_]\{?)[^$\n]{0,80}?(?<=\S)\$(?![\w$])", re.S)
+_TEX_DELIMITERS = re.compile(r"\\\[.{1,5000}?\\\]|\\\(.{1,2000}?\\\)|\$\$[^$]{1,5000}\$\$|(?<![\w$])\$(?=\S)[^$\n]{0,80}?(?:\\[a-zA-Z]|[\^_]\{?)[^$\n]{0,80}?(?<=\S)\$(?![\w$])", re.S)
 _ESCAPED_SIGNS = re.compile(
     r"(?<![\w\\])(?:\\\*){1,3}(?=[^\s\\*])[^\n]{1,200}?(?<=[^\s\\*])(?:\\\*){1,3}(?![\w])|(?<![\w\\])(?:\\_){2,3}(?=[^\s\\_])[^\n]{1,200}?(?<=[^\s\\_])(?:\\_){2,3}(?!\w)"
-    r"|\\~\\~[^\n]+?\\~\\~|\\`[^`\n]+\\`|^\\#{1,6} \S|\\\[[^\[\]\n]*\\\]\\?\([^()\s]*\\?\)", re.M
+    r"|\\~\\~[^\n]{1,400}?\\~\\~|\\`[^`\n]+\\`|^\\#{1,6} \S|\\\[[^\[\]\n]*\\\]\\?\([^()\s]*\\?\)", re.M
 )
 #: What a value must contain at least one of for any of the above to be possible.
 _SUSPICIOUS_HTML = re.compile(r"[\\`~{}]|\*\S|__|==|''|\[[\[/^]|\]\(|\$\$|&amp;|&(?!amp;|lt;|gt;|quot;)|&lt;[/!a-zA-Z]|#[# +]|^[ \t]*[>|+*#.h]|<[!?]|(?:&gt;|\$\S)", re.M)
@@ -262,7 +261,7 @@ def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
     bare = re.sub(r"\x00\d+\x00", " ", text)
     found = signs(re.sub(r"(?<!\\)\*{1,3}(?=\S)([^*\n]+?)(?<!\\)\*{1,3}", r"\1", bare), False)
     kinds |= found
-    if re.search(r"(?<![\w_\\])__(?=[^\s_])[^\n]+?(?<=[^\s_\\])__(?![\w_])", bare):
+    if re.search(r"(?<![\w_\\])__(?=[^\s_])[^\n]{1,400}?(?<=[^\s_\\])__(?![\w_])", bare):
         kinds.add("markdown")
     if "literal tag" in found or "reference" in found:
         # Foreign HTML in the text: rendered by the same tree, paragraph by paragraph.
@@ -335,8 +334,9 @@ def clean_text(df: DataFrame, column: str, notation: str) -> DataFrame:
         pairs = [(None, []) if v is None else render(v) for v in values]
         return pd.DataFrame({"text": [p[0] for p in pairs], "kinds": [sorted(p[1]) for p in pairs]})
 
-    kept = df.drop("clean_text", "foreign_kinds").withColumn("_rendered", rendered(F.col(column)))
-    return kept.withColumn("clean_text", F.col("_rendered.text")).withColumn("foreign_kinds", F.col("_rendered.kinds")).drop("_rendered")
-
-
-__all__ = ["clean_text", "foreign_markup", "render_html", "render_markdown", "signs", "unescape", "RAW_TEXT"]
+    own = "_rendered"
+    while own in df.columns:
+        own += "_"
+    made = df.withColumn(own, rendered(F.col(column)))
+    kept = [c for c in df.columns if c not in ("clean_text", "foreign_kinds")]
+    return made.select(*kept, F.col(f"{own}.text").alias("clean_text"), F.col(f"{own}.kinds").alias("foreign_kinds"))

@@ -29,6 +29,8 @@ NEIGHBOURS = 200
 #: Tokens beyond the expected count, as a share of it, that speak of lost text.
 SURPLUS = 0.03
 
+#: Characters at the end of a value that are looked at; a footer and the last words before it fit in.
+_END = 2000
 _CLOSED = r"(?is)</(div|p|table|ul|ol|pre|h[1-6]|math|section)>\s*$"
 #: Running text that stops in mid-sentence: three words or more, the last of them letters only.
 _MIDWAY = r"(?s)[^\s<>]+\s+[^\s<>]+\s+[\p{L}\p{M}'’-]+\s*(</[a-z0-9]+>\s*)+$"
@@ -38,13 +40,14 @@ _TERMINAL = r"""[.!?:;…。！？)\]"'”»’]\s*$"""
 
 def _tail(col: Column) -> Column:
     """End of the value without the page footer that may follow the text."""
-    body = F.regexp_replace(col, r"""(?is)<div[^<>]*data-label="Page-Footer"[^<>]*>[^<>]*(<[^<>]*>[^<>]*)*?</div>\s*$""", "")
+    body = F.regexp_replace(F.right(col, F.lit(_END)), r"""(?is)<div[^<>]*data-label="Page-Footer"[^<>]*>[^<>]*(<[^<>]*>[^<>]*)*?</div>\s*$""", "")
     return F.right(body, F.lit(400))
 
 
 def describe(results: DataFrame) -> DataFrame:
     """One row per call with non-empty ``raw``: lengths, ending and script profile; repeated rows count once."""
     raw = F.col("raw")
+    end = F.right(raw, F.lit(_END))
     letters = F.length(raw)
     cyrillic = letters - F.length(F.regexp_replace(raw, r"[Ѐ-ӿ]", ""))
     extended = letters - F.length(F.regexp_replace(raw, r"[Ā-ſ]", ""))
@@ -57,8 +60,8 @@ def describe(results: DataFrame) -> DataFrame:
         .select(
             "request_id", F.coalesce("source", F.lit("")).alias("source"), F.col("token_count").cast("long").alias("tokens"),
             F.length(raw).cast("long").alias("chars"), F.octet_length(raw).cast("long").alias("bytes"),
-            (~raw.rlike(_CLOSED) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
-            (raw.rlike(r"(?s)</div>[ \t]*\n\s*$") & raw.rlike(r"""(?s)<div[^<>]*data-bbox""")).alias("gap"),
+            (~end.rlike(_CLOSED) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
+            (end.rlike(r"(?s)</div>[ \t]*\n\s*$") & raw.rlike(r"""(?s)<div[^<>]*data-bbox""")).alias("gap"),
             tail.rlike(_TERMINAL).alias("terminal"),
             (tail_html.rlike(_MIDWAY) & ~tail_html.rlike(_SAME_WORD)).alias("midway"),
             F.concat_ws("/", part(cyrillic, 8), part(extended, 2), part(other, 20)).alias("profile"),
