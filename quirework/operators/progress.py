@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.operators.ordinals import running_number
+from quirework.operators.ordinals import global_number, running_number
 
 
 def book_numbers(documents: DataFrame) -> DataFrame:
-    """Books numbered from 1 by path: doc_id, book_no, n_books. One row per book is sorted, no pages."""
+    """Books numbered from 1 by path: doc_id, path, book_no, n_books."""
     books = documents.groupBy("doc_id").agg(F.min("path").alias("path"))
-    numbered = books.withColumn("book_no", F.row_number().over(Window.orderBy("path", "doc_id")))
-    return numbered.withColumn("n_books", F.count("*").over(Window.partitionBy()))
+    numbered = global_number(books, ["path", "doc_id"], "book_no")
+    return numbered.withColumn("n_books", F.lit(numbered.count()).cast("bigint"))
 
 
 def page_progress(done: DataFrame, totals: DataFrame, every: int = 1) -> DataFrame:

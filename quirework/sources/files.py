@@ -27,12 +27,20 @@ def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataF
 
 
 def output_folders(files: DataFrame) -> DataFrame:
-    """Folders that hold an assembled document or work on one; sources are never looked for below them."""
+    """Folders that hold an assembled document; sources are never looked for below them."""
     parent = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     own_markdown = F.regexp_extract("path", r"([^/]+)/\1\.md$", 1) != ""
-    below = F.regexp_extract("path", rf"^(.*?)/{WORK_FOLDER.replace('.', '[.]')}/", 1)
-    marked = files.select(F.when(below != "", below).when(own_markdown | (text.file_name(F.col("path")) == CHUNKS_FILE), parent).alias("folder"))
-    return marked.where("folder is not null").distinct()
+    return files.where(own_markdown | (text.file_name(F.col("path")) == CHUNKS_FILE)).select(parent.alias("folder")).distinct()
+
+
+def work_folders(spark: SparkSession, path: str, depth: int) -> DataFrame:
+    """Folders below ``path``, down to ``depth`` levels, with work in progress. Spark's listing leaves hidden ones out."""
+    system, place = _hadoop(spark, path)
+    found = []
+    for level in range(depth + 1):
+        pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, "/".join(["*"] * level + [WORK_FOLDER]))
+        found += [(str(status.getPath().getParent().toString()),) for status in system.globStatus(pattern) or ()]
+    return spark.createDataFrame(found, "folder string")
 
 
 def supported(files: DataFrame) -> DataFrame:
@@ -55,7 +63,8 @@ def discover(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
     files = list_files(spark, path, recursive)
     if not _is_glob(path) and _is_folder(spark, path):
         every = list_files(spark, path, True) if not recursive else files
-        folders = output_folders(every)
+        depth = every.agg(F.max(F.size(F.split("path", "/")))).first()[0] or 0
+        folders = output_folders(every).unionByName(work_folders(spark, path, max(0, depth - len(_uri(spark, path).split("/")))))
         ancestors = F.transform(F.sequence(F.lit(1), F.greatest(F.size(F.split("path", "/")) - 1, F.lit(1))), lambda n: F.array_join(F.slice(F.split("path", "/"), F.lit(1), n), "/"))
         inside = files.select("path", F.explode(ancestors).alias("folder")).join(folders.where(F.col("folder") != F.lit(_uri(spark, path))), "folder", "left_semi").select("path").distinct()
         files = files.join(inside, "path", "left_anti")
