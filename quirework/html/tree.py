@@ -32,6 +32,8 @@ IMPLIED: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "tfoot": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "p")), frozenset(("table",))),
     "option": (frozenset(("option",)), frozenset(("select",))),
 }
+#: Elements nested more deeply than this stand beside each other.
+MAX_DEPTH = 120
 #: Elements an end tag can't reach out of.
 _SCOPE = frozenset(("table", "td", "th", "caption"))
 
@@ -44,11 +46,12 @@ _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+))?"""
 class Node:
     """An element. Children are nodes or strings (text, already unescaped)."""
 
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "depth")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None, parent: Node | None = None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs or {}, parent
         self.children: list[Node | str] = []
+        self.depth: int = parent.depth + 1 if parent is not None else 0
 
     def elements(self) -> Iterator[Node]:
         """All elements below, in document order."""
@@ -132,7 +135,8 @@ def parse(html: str, implied: bool = True) -> Node:
                 child.children.append(html[at:stop])
             at = end.end() if end else size
             continue
-        top = child
+        if child.depth < MAX_DEPTH:
+            top = child
     if at < size:
         text = html[at:]
         top.children.append(unescape(text) if "&" in text else text)
