@@ -40,7 +40,7 @@ _LITERAL_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*(?::[a-zA-Z]+)?)((?:\s[^<>]*
 
 #: Signs of other notations in plain text, each with the kind it is reported as.
 _SIGNS: tuple[tuple[str, re.Pattern[str]], ...] = (
-    ("wiki", re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|(?<![\w'])'{2,5}(?=[^\s'])[^'\n]+?[^\s']'{2,5}(?!\w)|^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$|^\{\|[^\n]*$|^\|[}-][^\n|]*$", re.M)),
+    ("wiki", re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|(?<![\w'])'{2,5}(?=[^\s'])[^\n]{0,400}?[^\s']'{2,5}(?![\w'])|^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$|^\{\|[^\n]*$|^\|[}-][^\n|]*$", re.M)),
     ("latex", re.compile(r"(?<![\w\\:])\\(?:begin|end|[a-zA-Z]+\*?)[ \t]*(?:\[[^\]\n]*\])?\{|(?<![\w\\:/])\\(?:[a-zA-Z]{3,}|[a-z]{2})(?![\w\\/])")),
     ("bbcode", re.compile(r"\[(b|i|u|s|url|img|quote|code|list|size|color|center|font|spoiler|sub|sup)(?:=[^\]\n]{0,200})?\].{0,5000}?\[/\1\]", re.I | re.S)),
     ("directive", re.compile(r"^\.\. [a-z-]+::|^#\+[A-Za-z_]+:|^h[1-6]\. \S|:[a-z]+:`[^`\n]+`", re.M)),
@@ -90,6 +90,16 @@ class _Renderer:
     def __init__(self) -> None:
         self.kinds: set[str] = set()
         self.plain: list[str] = []
+        self.kept: list[str] = []
+
+    def keep(self, text: str) -> str:
+        """A mark for text whose white space must stay as it is."""
+        self.kept.append(text)
+        return f"\x00{len(self.kept) - 1}\x00"
+
+    def expand(self, text: str) -> str:
+        """Text with what its marks stand for."""
+        return _KEPT.sub(lambda m: self.kept[int(m[1])], text) if "\x00" in text else text
 
     def inspect(self, node: Node) -> None:
         if node.tag == "!":
@@ -147,16 +157,16 @@ class _Renderer:
             for child in node.elements():
                 self.inspect(child)
             self.plain.append("\n")
-            return "```\n" + node.text().strip("\n") + "\n```"
+            return self.keep("```\n" + node.text().strip("\n") + "\n```")
         if tag == "table":
-            return self.table(node)
+            return self.keep(self.table(node))
         if tag in ("ul", "ol"):
-            return self.list(node, tag == "ol")
+            return self.keep(self.list(node, tag == "ol"))
         if tag == "hr":
             return "---"
         text = _tidy(self.inline(node))
         if re.fullmatch(r"h[1-6]", tag) and text:
-            return "#" * int(tag[1]) + " " + " ".join(text.split())
+            return "#" * int(tag[1]) + " " + " ".join(self.expand(text).split())
         return text
 
     def list(self, node: Node, ordered: bool) -> str:
@@ -172,7 +182,7 @@ class _Renderer:
             if child.tag in _HIDDEN:
                 continue
             self.plain.append("\n")
-            text = _tidy(self.inline(child)).replace("\n\n", "\n") if child.tag not in ("ul", "ol") else self.list(child, child.tag == "ol")
+            text = self.expand(_tidy(self.inline(child))).replace("\n\n", "\n") if child.tag not in ("ul", "ol") else self.list(child, child.tag == "ol")
             mark = f"{number}. " if ordered else "- "
             number += 1
             body = text.split("\n") or [""]
@@ -186,7 +196,7 @@ class _Renderer:
             if child.tag == "caption":
                 self.inspect(child)
                 self.plain.append("\n")
-                caption = " ".join(self.inline(child).split())
+                caption = " ".join(self.expand(self.inline(child)).split())
             elif child.tag == "tr":
                 self.inspect(child)
                 cells: list[str] = []
@@ -196,7 +206,7 @@ class _Renderer:
                         continue
                     self.inspect(cell)
                     self.plain.append("\n")
-                    text = " ".join(self.inline(cell).split())
+                    text = " ".join(self.expand(self.inline(cell)).split())
                     span = cell.attrs.get("colspan", "1")
                     cells.append(text)
                     cells.extend([""] * (min(int(span), 1000) - 1 if span.isdigit() and int(span) > 1 else 0))
@@ -208,6 +218,9 @@ class _Renderer:
         return "\n".join([caption] * bool(caption) + lines)
 
 
+_KEPT = re.compile("\x00(\\d+)\x00")
+
+
 def _tidy(text: str) -> str:
     text = re.sub(r"[ \t]*\n[ \t]*", "\n", text)
     return re.sub(r"\n{3,}", "\n\n", text).strip()
@@ -218,7 +231,7 @@ def render_html(html: str | None) -> tuple[str, set[str]]:
     if not html:
         return "", set()
     renderer = _Renderer()
-    text = _tidy(renderer.inline(parse(html)))
+    text = renderer.expand(_tidy(renderer.inline(parse(html.replace("\x00", " ")))))
     kinds = renderer.kinds
     if "&" in html and _RAW_REFERENCE.search(html):
         kinds.add("reference")
@@ -234,6 +247,12 @@ _OWN_MARKDOWN = re.compile(
 _UNESCAPE = re.compile(r"\\([\\`*_{}\[\]()#+\-.!$<>~|&])")
 
 
+def _rendered_line(line: str) -> str:
+    """A line of markdown with foreign HTML; the marks of what is kept pass through."""
+    renderer = _Renderer()
+    return renderer.expand(_tidy(renderer.inline(parse(line.replace("\x00", "\x01"))))).replace("\x01", "\x00")
+
+
 def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
     """Clean text of a markdown value and the kinds of foreign markup in it. Null and empty values give ''."""
     if not markdown:
@@ -256,7 +275,7 @@ def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
             return m[0][1 : m[0].rindex("](")]
         return keep("") if m["script"] else keep(m[0])
 
-    text = _FENCE.sub(lambda m: keep(m[0].rstrip()), markdown)
+    text = _FENCE.sub(lambda m: keep(m[0].rstrip()), markdown.replace("\x00", " "))
     text = _OWN_MARKDOWN.sub(own, text)
     bare = re.sub(r"\x00\d+\x00", " ", text)
     found = signs(re.sub(r"(?<!\\)\*{1,3}(?=\S)([^*\n]+?)(?<!\\)\*{1,3}", r"\1", bare), False)
@@ -265,13 +284,13 @@ def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
         kinds.add("markdown")
     if "literal tag" in found or "reference" in found:
         # Foreign HTML in the text: rendered by the same tree, paragraph by paragraph.
-        text = "\n".join(_tidy(_Renderer().inline(parse(x))) if "<" in x or "&" in x else x for x in text.split("\n"))
+        text = "\n".join(_rendered_line(x) if "<" in x or "&" in x else x for x in text.split("\n"))
     text = re.sub(r"(?<![\\*])\*{1,3}(?=\S)([^*\n]+?)(?<!\\)\*{1,3}|~~([^~\n]+)~~", r"\1\2", text)
-    text = re.sub(r"'{2,5}([^'\n]+)'{2,5}|\[\[(?:[^\[\]|\n]*\|)*([^\[\]|\n]+)\]\]|\{\{(?:[^{}|\n]*\|)*([^{}|\n]+)\}\}", r"\1\2\3", text) if "wiki" in found else text
+    text = re.sub(r"'{2,5}([^\n]{1,400}?)'{2,5}|\[\[(?:[^\[\]|\n]*\|)*([^\[\]|\n]+)\]\]|\{\{(?:[^{}|\n]*\|)*([^{}|\n]+)\}\}", r"\1\2\3", text) if "wiki" in found else text
     text = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\{[^{}]*\})?|\\[a-zA-Z]+\*?(?:\[[^\]\n]*\])?\{([^{}\n]*)\}|\\(?:item|\\)", r"\1", text) if "latex" in found else text
     text = re.sub(r"\[/?(?:b|i|u|s|url|img|quote|code|list|size|color|center|font)(?:=[^\]\n]*)?\]", "", text, flags=re.I) if "bbcode" in found else text
     text = _UNESCAPE.sub(r"\1", text)
-    text = re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])], text)
+    text = _KEPT.sub(lambda m: kept[int(m[1])], text)
     return re.sub(r"\n{3,}", "\n\n", text).strip(), kinds
 
 

@@ -113,9 +113,9 @@ def truncation(results: DataFrame) -> DataFrame:
     """
     rows = cut_lineage(describe(results))
     spikes = limits(rows)
-    for measure in SLACK:
-        own = spikes.where(F.col("measure") == measure).groupBy("source").agg(F.collect_set("limit_value").alias(f"{measure}_limits"))
-        rows = rows.join(own, "source", "left")
+    # A source has a handful of limits.
+    own = spikes.groupBy("source").agg(*[F.collect_set(F.when(F.col("measure") == m, F.col("limit_value"))).alias(f"{m}_limits") for m in SLACK])
+    rows = rows.join(own, "source", "left")
     standing = F.lit(False)
     for measure, slack in SLACK.items():
         standing = standing | _at_limit(measure, slack)
