@@ -59,7 +59,7 @@ _LETTERS = re.compile(r"[\W\d_]+")
 
 def _codes(texts: list[str], alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letter codes of all texts in one array (0 between texts, 1 for a word end) and the text each belongs to."""
-    joined = "\x00" + "\x00".join(f" {_LETTERS.sub(' ', t).strip()} " for t in texts) + "\x00"
+    joined = "\x00" + "\x00".join(f" {x} " if (x := _LETTERS.sub(" ", t).strip()) else " " for t in texts) + "\x00"
     points = np.frombuffer(joined.lower().encode("utf-32-le"), np.uint32)
     at = np.searchsorted(alphabet, points)
     at[at == len(alphabet)] = 0

@@ -5,9 +5,10 @@ Everything is expressed with built-in functions, so the texts never leave the JV
 neighbourhood is a limit of that source. A value is judged truncated if one of these holds:
 
 * its layout structure is left open, or it ends in the gap between two blocks;
-* it stands at a limit of its source and its visible text doesn't end in terminal punctuation;
-* its token count says that the model wrote clearly more than what is stored, and it ends inside a sentence. What a
-  character costs in tokens is learnt from the whole values of the same script profile.
+* it stands at a limit of its source, and its visible text stops inside a sentence without terminal punctuation;
+* its token count says that the model wrote clearly more than what is stored, and it ends inside a sentence, or no
+  script would cost that many tokens. What a character costs in tokens is learnt from the whole values of the same
+  script profile.
 
 The last two leave alone a page whose last sentence runs on to the next page: its token count fits what is stored.
 """
@@ -48,6 +49,7 @@ def describe(results: DataFrame) -> DataFrame:
     """One row per call with non-empty ``raw``: lengths, ending and script profile; repeated rows count once."""
     raw = F.col("raw")
     end = F.right(raw, F.lit(_END))
+    count = lambda tag: (F.length(raw) - F.length(F.replace(raw, F.lit(tag), F.lit("")))) / len(tag)
     letters = F.length(raw)
     cyrillic = letters - F.length(F.regexp_replace(raw, r"[Ѐ-ӿ]", ""))
     extended = letters - F.length(F.regexp_replace(raw, r"[Ā-ſ]", ""))
@@ -60,7 +62,7 @@ def describe(results: DataFrame) -> DataFrame:
         .select(
             "request_id", F.coalesce("source", F.lit("")).alias("source"), F.col("token_count").cast("long").alias("tokens"),
             F.length(raw).cast("long").alias("chars"), F.octet_length(raw).cast("long").alias("bytes"),
-            (~end.rlike(_CLOSED) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
+            ((~end.rlike(_CLOSED) | (count("<div") > count("</div>"))) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
             (end.rlike(r"(?s)</div>[ \t]*\n\s*$") & raw.rlike(r"""(?s)<div[^<>]*data-bbox""")).alias("gap"),
             tail.rlike(_TERMINAL).alias("terminal"),
             (tail_html.rlike(_MIDWAY) & ~tail_html.rlike(_SAME_WORD)).alias("midway"),
@@ -128,7 +130,9 @@ def truncation(results: DataFrame) -> DataFrame:
     surplus = F.coalesce((F.col("tokens") - 3) > (1 + SURPLUS) * expected * F.col("chars"), F.lit(False)) & (F.col("chars") >= 80)
     reason = (
         F.when(F.col("open"), "open structure").when(F.col("gap"), "ends between blocks")
-        .when(standing & ~F.col("terminal") & F.col("midway"), "at a limit").when(surplus & ~F.col("terminal") & F.col("midway"), "fewer characters than tokens")
+        .when(standing & ~F.col("terminal") & F.col("midway"), "at a limit")
+        .when(F.coalesce(F.col("tokens") > 1.1 * F.lit(dearest) * F.col("chars"), F.lit(False)) & (F.col("chars") >= 80), "fewer characters than tokens")
+        .when(surplus & ~F.col("terminal") & F.col("midway"), "fewer characters than tokens")
     )
     return judged.select("request_id", "source", reason.alias("reason"), reason.isNotNull().alias("truncated"))
 
