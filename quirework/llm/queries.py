@@ -26,6 +26,22 @@ def p1_host_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumns({c: F.round(c, 6) for c in ("raw_rate", "host_rate", "prior_rate")})
 
 
+def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of repetition of every value, by words and by characters."""
+    found = repetition.document_repetition(read_table(spark, sf_dir, "page_artifacts"), read_table(spark, sf_dir, "generation_results"))
+    return found.select("field", "record_key", F.round("word_share", 6).alias("word_share"), F.round("char_share", 6).alias("char_share"), "repetitive").distinct()
+
+
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean text of every value of the three fields, by its hash, and the kinds of foreign markup in it."""
+    pages = read_table(spark, sf_dir, "page_artifacts").select("doc_id", "page_num", "markdown", "html_filtered", "chunks")
+    blocks = pages.select("doc_id", "page_num", F.posexplode("chunks").alias("position", "c")).select("doc_id", "page_num", F.concat(F.lit("content/"), F.col("position").cast("string")).alias("field"), F.col("c.content").alias("value"))
+    html = pages.select("doc_id", "page_num", F.lit("html_filtered").alias("field"), F.col("html_filtered").alias("value")).unionByName(blocks)
+    text = pages.select("doc_id", "page_num", F.lit("markdown").alias("field"), F.col("markdown").alias("value"))
+    clean = markup.clean_text(html, "value", "html").unionByName(markup.clean_text(text, "value", "markdown"))
+    return clean.select("doc_id", "page_num", "field", F.md5("clean_text").alias("clean_md5"), F.length("clean_text").alias("n_chars"), F.array_join("foreign_kinds", ",").alias("kinds")).distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field values with foreign markup."""
     return markup.foreign_markup(read_table(spark, sf_dir, "page_artifacts")).select("doc_id", "page_num", "field").distinct()
@@ -100,7 +116,7 @@ def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_host_rates, p2_found, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p6_packed, p6_fill_rates, p7_found, p7_coverage, p8_found, p8_composition)}
+    return {f.__name__: f for f in (p1_found, p1_host_rates, p1_shares, p2_found, p2_clean, p3_found, p3_rates, p4_found, p4_repaired, p5_found, p5_stretches, p6_packed, p6_fill_rates, p7_found, p7_coverage, p8_found, p8_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
