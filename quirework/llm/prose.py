@@ -7,7 +7,7 @@ import re
 _FENCED = re.compile(r"^(```+|~~~+)[^\n]*\n.*?(?:^\1[ \t]*$|\Z)", re.M | re.S)
 _TABLE = re.compile(r"<table\b.*?</table>", re.S)
 _FORMULA = re.compile(r"\$\$.+?\$\$", re.S)
-_OTHER_LINE = re.compile(r"#{1,6} |[ \t]*[-*+] |[ \t]*\d{1,3}[.)] |!\[[^\]\n]*\]\([^()\n]*\)[ \t]*$|\d*-{20,}[ \t]*$|[^\n]*\.{4,}")
+_OTHER_LINE = re.compile(r"#{1,6} |[ \t]*[-*+] |[ \t]*\d{1,3}[.)] |!\[[^\]\n]*\]\([^()\n]*\)[ \t]*$|\d*-{20,}[ \t]*$|[^\n]*\.{4,}|\{\||\|[-}]|[!|] |[ \t]*\\(?:begin|end|item)\b")
 _SIGNS = re.compile(r"[<\[\]`*~$\\&]")
 _DROP_SIMPLE = re.compile(r"(?<![\\\w])\$(?=\S)[^$\n]{1,120}\$|<!--.*?-->|</?[a-zA-Z][^<>]*>|!?\[(?=[^\[\]\n]*\]\()|\]\([^()\s]*\)|(?<!\\)[\[\]`*~]|\\(?=[^\w\s])|&[a-z#0-9]{2,8};", re.S)
 _HYPHEN = re.compile(r"(\w)[-­¬‐]\s*\n\s*(?=\w)")
