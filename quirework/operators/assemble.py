@@ -17,12 +17,16 @@ SEPARATOR = "\n\n"
 RULE = "-" * 48
 
 
-def one_per_page(artifacts: DataFrame) -> DataFrame:
-    """One artifact of each page: a good one before a failed one, then the one with the most tokens."""
-    rank = F.struct(~F.coalesce("error", F.lit(False)), F.coalesce("token_count", F.lit(0)), F.length("markdown"), F.col("markdown"))
-    rest = [c for c in artifacts.columns if c not in ("doc_id", "page_num")]
-    best = artifacts.groupBy("doc_id", "page_num").agg(F.max_by(F.struct(*rest), rank).alias("_p"))
-    return best.select("doc_id", "page_num", "_p.*")
+def one_per_page(artifacts: DataFrame, values: dict[str, Column] | None = None) -> DataFrame:
+    """One artifact of each page: a good one before a failed one, then the one with the most tokens and the longest text.
+
+    With ``values``, only these columns come out; they are computed before the shuffle, so that what they don't need
+    isn't moved. Texts are compared by length and hash.
+    """
+    rank = F.struct(~F.coalesce("error", F.lit(False)), F.coalesce("token_count", F.lit(0)), F.length("markdown"), F.md5("markdown"))
+    carried = values if values is not None else {c: F.col(c) for c in artifacts.columns if c not in ("doc_id", "page_num")}
+    ranked = artifacts.select("doc_id", "page_num", rank.alias("_rank"), F.struct(*[c.alias(n) for n, c in carried.items()]).alias("_p"))
+    return ranked.groupBy("doc_id", "page_num").agg(F.max_by("_p", "_rank").alias("_p")).select("doc_id", "page_num", "_p.*")
 
 
 def _separated(text: str, paginated: Callable | None) -> Callable:
@@ -44,7 +48,8 @@ def _html_rule(ordinal: Column) -> Column:
 
 def assemble_parts(artifacts: DataFrame, paginated: bool = False, part_pages: int = PART_PAGES) -> DataFrame:
     """Parts of each document: doc_id, part, n_pages, markdown, html. Null texts count as empty."""
-    pages = one_per_page(artifacts).where("page_num is not null").select("doc_id", F.floor(F.col("page_num") / part_pages).cast("int").alias("part"), F.struct("page_num", "markdown", "html_filtered").alias("page"))
+    texts = one_per_page(artifacts, {c: F.col(c) for c in ("markdown", "html_filtered")})
+    pages = texts.where("page_num is not null").select("doc_id", F.floor(F.col("page_num") / part_pages).cast("int").alias("part"), F.struct("page_num", "markdown", "html_filtered").alias("page"))
     grouped = pages.groupBy("doc_id", "part").agg(F.array_sort(F.collect_list("page")).alias("pages"))
     before = Window.partitionBy("doc_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = grouped.withColumn("_offset", F.coalesce(F.sum(F.size("pages")).over(before), F.lit(0)).cast("int"))
@@ -66,15 +71,19 @@ def assemble(artifacts: DataFrame, paginated: bool = False) -> DataFrame:
 
 def document_chunks(artifacts: DataFrame) -> DataFrame:
     """Chunks of all pages with their place: doc_id, page_num, position, and the chunk's fields."""
-    pages = one_per_page(artifacts).select("doc_id", "page_num", "chunks")
+    pages = one_per_page(artifacts, {"chunks": F.col("chunks")})
     return pages.select("doc_id", "page_num", F.posexplode("chunks").alias("position", "c")).select("doc_id", "page_num", "position", "c.*")
 
 
 def page_metadata(artifacts: DataFrame) -> DataFrame:
     """Metadata of every page: tokens, chunks and images, nulls counted as none."""
-    return one_per_page(artifacts).select(
-        "doc_id", "page_num", "page_box", F.coalesce("token_count", F.lit(0)).alias("token_count"), F.coalesce(F.array_size("chunks"), F.lit(0)).alias("num_chunks"),
-        F.coalesce(F.array_size("image_files"), F.lit(0)).alias("num_images"), "error",
+    size = lambda name: F.coalesce(F.array_size(name), F.lit(0))
+    return one_per_page(
+        artifacts,
+        {
+            "page_box": F.col("page_box"), "token_count": F.coalesce("token_count", F.lit(0)), "num_chunks": size("chunks"),
+            "num_images": size("image_files"), "error": F.col("error"),
+        },
     )
 
 
@@ -87,7 +96,10 @@ def document_metadata(artifacts: DataFrame) -> DataFrame:
 
 
 def metadata_json(artifacts: DataFrame, names: DataFrame) -> DataFrame:
-    """Metadata of each document as the JSON that is stored beside it: doc_id, metadata. ``names``: doc_id, file_name."""
+    """Metadata of each document as one JSON value: doc_id, metadata. ``names``: doc_id, file_name.
+
+    For documents whose pages fit a value; :func:`page_metadata` has rows for any size.
+    """
     pages = page_metadata(artifacts).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("page_num", "page_box", "token_count", "num_chunks", "num_images", "error"))).alias("pages")
     )
@@ -100,6 +112,6 @@ def metadata_json(artifacts: DataFrame, names: DataFrame) -> DataFrame:
 def run_statistics(completeness: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row about a run: books, pages_processed, pages_pending, pages_failed."""
     expected = completeness.select(F.lit(1).alias("books"), F.col("n_done").alias("pages_processed"), (F.col("n_expected") - F.col("n_done")).alias("pages_pending"), F.lit(0).alias("pages_failed"))
-    failed = one_per_page(artifacts).where("error").select(F.lit(0).alias("books"), F.lit(0).alias("pages_processed"), F.lit(0).alias("pages_pending"), F.lit(1).alias("pages_failed"))
+    failed = one_per_page(artifacts, {"error": F.col("error")}).where("error").select(F.lit(0).alias("books"), F.lit(0).alias("pages_processed"), F.lit(0).alias("pages_pending"), F.lit(1).alias("pages_failed"))
     both = expected.unionByName(failed)
     return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns])

@@ -14,14 +14,15 @@ from quirework.session import cut_lineage
 
 @dataclass
 class Run:
-    """What a run leaves: all artifacts, old and new, the documents' completeness, and statistics."""
+    """What a run leaves: all artifacts, the new ones among them, the documents' completeness, and statistics."""
 
     artifacts: DataFrame
+    new: DataFrame
     completeness: DataFrame
     statistics: DataFrame
 
 
-def run(documents: DataFrame, pages: DataFrame, done: DataFrame | None, factory: Callable[[], model.PageModel], page_range: Column | None = None, **options: object) -> Run:
+def run(documents: DataFrame, pages: DataFrame, done: DataFrame | None, factory: Callable[[], model.PageModel], page_range: Column | None = None, headers_footers: bool = False, images: bool = True, **options: object) -> Run:
     """Process what is pending of ``documents`` and merge it with what is ``done``.
 
     ``documents``: doc_id, stem, total_pages. ``pages``: doc_id, page_num, width, height and whatever the model takes.
@@ -33,13 +34,12 @@ def run(documents: DataFrame, pages: DataFrame, done: DataFrame | None, factory:
     todo = pages.join(pending, ["doc_id", "page_num"], "left_semi").join(documents.select("doc_id", "stem"), "doc_id", "left")
     answered = model.generate(todo, factory, **options)
     message = F.when(F.col("error"), F.concat(F.coalesce("error_kind", F.lit("unknown")), F.lit(": the model gave no answer")))
-    new = cut_lineage(parse.parse_pages(answered.withColumn("error_message", message)))
-    lost = resume.missing_as_errors(pending.join(pages.select("doc_id", "page_num"), ["doc_id", "page_num"], "left_anti"))
-    artifacts = new.unionByName(lost, allowMissingColumns=True)
-    if done is not None:
-        artifacts = done.unionByName(artifacts, allowMissingColumns=True)
+    new = cut_lineage(parse.parse_pages(answered.withColumn("error_message", message), headers_footers, images))
+    lost = resume.missing_as_errors(pending.join(new.select("doc_id", "page_num"), ["doc_id", "page_num"], "left_anti"))
+    added = new.unionByName(lost, allowMissingColumns=True)
+    artifacts = done.unionByName(added, allowMissingColumns=True) if done is not None else added
     status = resume.completeness(expected, artifacts)
-    return Run(artifacts, status, assemble.run_statistics(status, artifacts))
+    return Run(artifacts, added, status, assemble.run_statistics(status, artifacts))
 
 
 def one_page(page: DataFrame, factory: Callable[[], model.PageModel]) -> DataFrame:

@@ -37,7 +37,7 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 _ONE = """
 one AS (
   SELECT * EXCLUDE (rank_no) FROM (
-    SELECT *, row_number() OVER (PARTITION BY doc_id, page_num ORDER BY coalesce(error, false), coalesce(token_count, 0) DESC, length(markdown) DESC, markdown DESC) AS rank_no
+    SELECT *, row_number() OVER (PARTITION BY doc_id, page_num ORDER BY coalesce(error, false), coalesce(token_count, 0) DESC, length(markdown) DESC, md5(markdown) DESC) AS rank_no
     FROM page_artifacts) WHERE rank_no = 1)
 """
 
@@ -180,7 +180,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fin WHERE fin.doc_id = f.doc_id AND fin.size = f
 def unfinished_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files that have no finished output made from the same file."""
     files = read_table(spark, sf_dir, "source_files").select("doc_id", "path", F.col("length").alias("size"), (F.unix_micros("modification_time") / 1e6).alias("mtime"))
-    chars = assemble.one_per_page(_artifacts(spark, sf_dir)).groupBy("doc_id").agg(F.sum(F.length("markdown")).alias("n_chars"))
+    chars = assemble.one_per_page(_artifacts(spark, sf_dir), {"n": F.length("markdown")}).groupBy("doc_id").agg(F.sum("n").alias("n_chars"))
     states = resume.latest_state(read_table(spark, sf_dir, "run_state").where("source is not null"))
     finished = chars.join(states.select("doc_id", "size", "mtime"), "doc_id")
     return resume.unfinished(files, finished).select("doc_id", "path").distinct()
@@ -472,7 +472,7 @@ SELECT doc_id, count(*) AS n_pages, count(*) FILTER (WHERE error) AS n_failed FR
 """)
 def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that a stream of their pages completes. The table is streamed file by file."""
-    pages = assemble.one_per_page(_artifacts(spark, sf_dir)).select("doc_id", "page_num", "token_count", "error")
+    pages = assemble.one_per_page(_artifacts(spark, sf_dir), {"token_count": F.col("token_count"), "error": F.col("error")})
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     pages.repartition(8).write.parquet(f"{base}/pages")
     expected = resume.expected_pages(read_table(spark, sf_dir, "run_state")).groupBy("doc_id").agg(F.count("*").alias("n_expected"))
@@ -491,7 +491,7 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The call that became each page, with the page's size and the book's stem."""
-    sizes = assemble.one_per_page(_artifacts(spark, sf_dir)).select("doc_id", "page_num", F.get("page_box", F.lit(2)).alias("width"), F.get("page_box", F.lit(3)).alias("height"))
+    sizes = assemble.one_per_page(_artifacts(spark, sf_dir), {"width": F.get("page_box", F.lit(2)), "height": F.get("page_box", F.lit(3))})
     stems = read_table(spark, sf_dir, "source_files").groupBy("doc_id").agg(F.min("stem").alias("stem"))
     calls = model.accepted_calls(read_table(spark, sf_dir, "generation_results"))
     return calls.join(sizes, ["doc_id", "page_num"], "left").join(stems, "doc_id", "left")

@@ -44,13 +44,16 @@ def state_rows(documents: DataFrame, run_no: int, pages: Column) -> DataFrame:
 def write_documents(artifacts: DataFrame, names: DataFrame, folder: str, paginated: bool = False, html: bool = True) -> None:
     """Markdown, metadata, chunks and, if asked for, HTML of every document, each a dataset under the folder.
 
-    Documents are written in parts, in order of doc_id and part. Chunks are JSON lines in document order within a file.
+    Documents of any size are written in parts; metadata are one row per document and one per page. Chunks are JSON
+    lines in document order. ``assemble.metadata_json`` gives metadata as one value for documents that fit in one.
     """
     parts = assemble.assemble_parts(artifacts, paginated)
     parts.select("doc_id", "part", "n_pages", "markdown").write.mode("overwrite").parquet(f"{folder}/markdown")
     if html:
         parts.select("doc_id", "part", "n_pages", "html").write.mode("overwrite").parquet(f"{folder}/html")
-    assemble.metadata_json(artifacts, names).write.mode("overwrite").parquet(f"{folder}/metadata")
+    totals = assemble.document_metadata(artifacts).join(names.select("doc_id", "file_name").distinct(), "doc_id", "left")
+    totals.write.mode("overwrite").parquet(f"{folder}/metadata")
+    assemble.page_metadata(artifacts).write.mode("overwrite").parquet(f"{folder}/pages")
     chunks = assemble.document_chunks(artifacts)
     chunks.repartitionByRange("doc_id", "page_num").sortWithinPartitions("doc_id", "page_num", "position").write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/chunks")
 

@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from quirework.session import ensure_checkpoint_dir
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's sources to the workers, once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _sent:
+    """Send the package's sources to the workers by way of the shared folder, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
         return
     package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="quirework-code-")) / "quirework_code.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for path in sorted(package.rglob("*.py")):
             z.write(path, f"quirework/{path.relative_to(package)}")
-    spark.sparkContext.addPyFile(str(archive))
-    _sent.add(app)
+    target = context._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/quirework_{uuid.uuid4().hex}.zip")
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    out = system.create(target)
+    try:
+        out.write(packed.getvalue())
+    finally:
+        out.close()
+    context.addPyFile(str(system.makeQualified(target).toString()))
+    _sent.add(context.applicationId)

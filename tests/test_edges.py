@@ -83,6 +83,23 @@ def test_pages_are_rendered_one_by_one(spark):
     assert got == {("a", 0): (False, 10), ("a", 2): (False, 12), ("b", 1): (False, 11), ("b", 2): (True, None), ("c", 5): (True, None)}
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from quirework.__main__ import main
+
+    for name in ("a.pdf", "b.PDF", "n.txt"):
+        (tmp_path / "in" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"%PDF-good")
+    run = [str(tmp_path / "in"), str(tmp_path / "out"), "--model", "tests.test_operators:Steady", "--renderer", "tests.test_edges:Three"]
+    assert main([*run, "--page-range", "1-2"]) == 0
+    assert spark.read.parquet(str(tmp_path / "out/artifacts")).count() == 4
+    assert main(run) == 1  # the third pages fail in the model
+    assert spark.read.parquet(str(tmp_path / "out/artifacts")).count() == 6
+    texts = [r["markdown"] for r in spark.read.parquet(str(tmp_path / "out/documents/markdown")).collect()]
+    assert texts == ["page 0\n\npage 1\n\n"] * 2 and "2 documents: 6 pages done" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out/states")).count() == 4
+    assert main([str(tmp_path / "none"), *run[1:]]) == 2 and main([*run, "--page-range", "0"]) == 2
+
+
 def test_sinks(spark, tmp_path):
     target = tmp_path / "x" / "a.md"
     outputs.write_text(target, "é")
