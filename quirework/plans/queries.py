@@ -299,14 +299,15 @@ def progress_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.join(totals, "doc_id").where((F.col("n_done") % 5 == 0) | (F.col("n_done") == F.col("total"))).select("request_id", "doc_id", "page_num", "n_done")
 
 
-_HEADINGS = r"""
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+_HEADINGS_OF = r"""
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM SOURCE),
 fenced AS (SELECT *, regexp_matches(line, '^\s*```') AS fence, sum(regexp_matches(line, '^\s*```')::INT) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) % 2 AS code FROM lines),
 found AS (SELECT doc_id, n, length(regexp_extract(line, '^(#{1,3})\s+(.+?)\s*$', 1)) AS level, trim(regexp_replace(regexp_extract(line, '^(#{1,3})\s+(.+?)\s*$', 2), '(\*\*|__|\*|_)', '', 'g')) AS heading
   FROM fenced WHERE NOT fence AND code = 0 AND regexp_matches(line, '^#{1,3}\s+\S')),
 based AS (SELECT *, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(heading), '[^\p{L}\p{N}_\s-]', '', 'g'), '[\s_]+', '-', 'g'), '-'), ''), 'section') AS base FROM found WHERE heading <> ''),
 anchored AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY n) - 1 AS k FROM based)
 """
+_HEADINGS = _HEADINGS_OF.replace("SOURCE", "documents")
 
 
 @_query(f"WITH {_HEADINGS} SELECT doc_id, level, heading, CASE WHEN k = 0 THEN base ELSE base || '-' || k END AS anchor FROM anchored")
@@ -519,10 +520,31 @@ def sanitized_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "page_num", F.md5("raw_html").alias("html_md5"), F.length("raw_html").alias("n_chars")).distinct()
 
 
-@_query()
+@_query(f"""
+WITH firsts AS (
+  SELECT doc_id, text, list_position(list_transform(string_split(text, chr(10)), lambda x: regexp_matches(x, '^#[ \\t]+\\S')), true) AS s FROM documents),
+rest AS (SELECT doc_id, array_to_string(string_split(text, chr(10))[s:], chr(10)) AS text FROM firsts WHERE s > 0), {_HEADINGS_OF.replace("SOURCE", "rest")},
+t AS (SELECT doc_id, min(level) AS top FROM anchored GROUP BY doc_id),
+made AS (
+  SELECT doc_id, '# Table of Contents' || chr(10) || chr(10) || string_agg(repeat('  ', (level - top)::INT) || '- [' || heading || '](#' || CASE WHEN k = 0 THEN base ELSE base || '-' || k END || ')', chr(10) ORDER BY n) || chr(10) || chr(10) AS toc
+  FROM anchored JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, md5(coalesce(toc, '# Table of Contents' || chr(10) || chr(10) || '_(no headings found)_' || chr(10)) || text) AS rewritten_md5 FROM rest LEFT JOIN made USING (doc_id)
+""")
 def toc_rewrites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose printed table of contents is replaced."""
-    return toc.rewrite(read_table(spark, sf_dir, "documents")).select("doc_id", F.md5("rewritten").alias("rewritten_md5"))
+    """All documents, each behind a printed table of contents, with that table replaced by one of their headings."""
+    printed = F.concat(F.lit("# Table of Contents\n## 1\nIndex 7\n"), F.col("text"))
+    return toc.rewrite(read_table(spark, sf_dir, "documents").select("doc_id", printed.alias("text"))).select("doc_id", F.md5("rewritten").alias("rewritten_md5"))
+
+
+@_query(r"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_num ORDER BY attempt DESC, request_id DESC) AS k FROM generation_results),
+l AS (SELECT doc_id, page_num, list_filter(regexp_extract_all(raw, '<div (?:data-bbox="[^"]*" )?data-label="([^"]*)"[^>]*>', 1), lambda x: x <> 'Blank-Page') AS labels FROM r WHERE k = 1 AND raw IS NOT NULL AND NOT coalesce(error, false))
+SELECT doc_id, page_num, array_to_string(labels, ',') AS labels, len(labels) AS n_blocks FROM l
+""")
+def parsed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the blocks that parsing finds on every page, in order."""
+    made = parse.parse_pages(_raw_pages(spark, sf_dir)).where("not error")
+    return made.select("doc_id", "page_num", F.array_join(F.transform("chunks", lambda c: c["label"]), ",").alias("labels"), F.size("chunks").alias("n_blocks"))
 
 
 def queries() -> dict[str, Query]:
