@@ -8,13 +8,16 @@ neighbourhood is a limit of that source. A value is judged truncated if one of t
 * it stands at a limit of its source, and its visible text stops inside a sentence without terminal punctuation;
 * its token count says that the model wrote clearly more than what is stored, and it ends inside a sentence, or no
   script would cost that many tokens. What a character costs in tokens is learnt from the whole values of the same
-  script profile.
+  script profile;
+* it stops inside a sentence with what is no word of the corpus but the beginning of one.
 
-The last two leave alone a page whose last sentence runs on to the next page: its token count fits what is stored.
+The last three leave alone a page whose last sentence runs on to the next page: its token count fits what is stored, and its last word is whole.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +35,13 @@ SURPLUS = 0.03
 
 #: Characters at the end of a value that are looked at; a footer and the last words before it fit in.
 _END = 2000
+# Elements that the model always closes.
+_CONTAINERS = ("div", "ol", "ul", "table")
 _CLOSED = r"(?is)</(div|p|table|ul|ol|pre|h[1-6]|math|section)>\s*$"
 #: Running text that stops in mid-sentence: three words or more, the last of them letters only.
 _MIDWAY = r"(?s)[^\s<>]+\s+[^\s<>]+\s+[\p{L}\p{M}'’-]+\s*(</[a-z0-9]+>\s*)+$"
+_NO_PROSE = r"(?s)</(code|pre|math|chem)>\s*(</[a-z0-9]+>\s*)*$"
+_LAST_WORD = r"([\p{L}\p{M}'’-]+)\s*(?:</[a-z0-9]+>\s*)+$"
 _SAME_WORD = r"(?s)(\b\w+)\s+\1\s+\1\s*(</[a-z0-9]+>\s*)+$"
 _TERMINAL = r"""[.!?:;…。！？)\]"'”»’]\s*$"""
 
@@ -50,11 +57,13 @@ def describe(results: DataFrame) -> DataFrame:
     raw = F.col("raw")
     end = F.right(raw, F.lit(_END))
     count = lambda tag: (F.length(raw) - F.length(F.replace(raw, F.lit(tag), F.lit("")))) / len(tag)
+    unbalanced = functools.reduce(lambda a, b: a | b, [count(f"<{tag}") > count(f"</{tag}>") for tag in _CONTAINERS])
     letters = F.length(raw)
     cyrillic = letters - F.length(F.regexp_replace(raw, r"[Ѐ-ӿ]", ""))
     extended = letters - F.length(F.regexp_replace(raw, r"[Ā-ſ]", ""))
     other = letters - F.length(F.regexp_replace(raw, r"[Ͱ-Ͽ԰-퟿]", ""))
-    part = lambda x, width: F.least(F.floor(x * 100 / letters / width), F.lit(9))
+    # Shares of letters in classes; none at all is a class of its own.
+    part = lambda x, width: F.when(x == 0, 0).otherwise(F.least(F.floor(x * 100 / letters / width) + 1, F.lit(9)))
     tail_html = _tail(raw)
     tail = F.trim(F.regexp_replace(tail_html, r"<[^<>]*>?", " "))
     return (
@@ -62,11 +71,12 @@ def describe(results: DataFrame) -> DataFrame:
         .select(
             "request_id", F.coalesce("source", F.lit("")).alias("source"), F.col("token_count").cast("long").alias("tokens"),
             F.length(raw).cast("long").alias("chars"), F.octet_length(raw).cast("long").alias("bytes"),
-            ((~end.rlike(_CLOSED) | (count("<div") > count("</div>"))) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
+            ((~end.rlike(_CLOSED) | unbalanced) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
             (end.rlike(r"(?s)</div>[ \t]*\n\s*$") & raw.rlike(r"""(?s)<div[^<>]*data-bbox""")).alias("gap"),
             tail.rlike(_TERMINAL).alias("terminal"),
-            (tail_html.rlike(_MIDWAY) & ~tail_html.rlike(_SAME_WORD)).alias("midway"),
-            F.concat_ws("/", part(cyrillic, 8), part(extended, 2), part(other, 20)).alias("profile"),
+            F.lower(F.regexp_extract(tail_html, _LAST_WORD, 1)).alias("last_word"),
+            (tail_html.rlike(_MIDWAY) & ~tail_html.rlike(_SAME_WORD) & ~tail_html.rlike(_NO_PROSE)).alias("midway"),
+            F.concat_ws("/", part(cyrillic, 8), part(extended, 1), part(other, 20)).alias("profile"),
         )
         .dropDuplicates(["request_id", "source", "chars", "bytes", "tokens"])
     )
@@ -107,6 +117,21 @@ def _at_limit(measure: str, slack: int) -> Column:
     return F.coalesce(F.exists(F.col(f"{measure}_limits"), lambda limit: F.col(measure).between(limit - slack, limit)), F.lit(False))
 
 
+def broken_words(results: DataFrame, last_words: DataFrame) -> DataFrame:
+    """Those of ``last_words`` (last_word) that are no word of the corpus but the beginning of one: a cut inside a word.
+
+    Words are counted over all values, without the last one of each; they are combined in each partition first.
+    """
+    raw = F.col("raw")
+    body = F.concat(F.left(raw, F.length(raw) - F.least(F.length(raw), F.lit(300))), F.regexp_replace(F.right(raw, F.lit(300)), r"[^\s<>]+\s*(?:</[a-z0-9]+>\s*)*$", ""))
+    words = F.split(F.lower(F.regexp_replace(body, r"<[^<>]*>?", " ")), r"[^\p{L}\p{M}'’-]+")
+    known = results.where(F.length(F.trim(raw)) > 0).select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")).where((F.col("n") >= 3) & (F.col("word") != ""))
+    known = cut_lineage(known.select("word"))
+    unknown = last_words.where("last_word <> ''").distinct().join(known, F.col("last_word") == F.col("word"), "left_anti")
+    beginnings = known.where(F.length("word") <= 40).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda k: F.left("word", k))).alias("beginning")).distinct()
+    return unknown.join(beginnings, F.col("last_word") == F.col("beginning"), "left_semi")
+
+
 def truncation(results: DataFrame) -> DataFrame:
     """Verdict per call: request_id, source, reason (null if whole), truncated.
 
@@ -125,6 +150,9 @@ def truncation(results: DataFrame) -> DataFrame:
     cost = rows.where(whole).groupBy("profile").agg(F.percentile_approx(F.col("tokens") / F.col("chars"), 0.5, 2000).alias("cost"), F.percentile_approx(F.col("tokens") / F.col("chars"), 0.9, 2000).alias("high"), F.count("*").alias("n_profile"))
     dearest = rows.where(whole).agg(F.percentile_approx(F.col("tokens") / F.col("chars"), 0.98, 2000)).first()[0]  # one value
     judged = rows.join(F.broadcast(cost), "profile", "left")
+    inside = ~F.col("open") & ~F.col("gap") & ~F.col("terminal") & F.col("midway")
+    broken = broken_words(results, rows.where(inside).select("last_word")).withColumn("broken", F.lit(True))
+    judged = judged.join(broken, "last_word", "left").withColumn("broken", F.coalesce("broken", F.lit(False)) & inside)
     # A profile whose values cost very different amounts mixes languages: there the dearer of them is the measure.
     expected = F.when(F.coalesce("n_profile", F.lit(0)) < 20, F.lit(dearest)).when(F.col("high") > 1.04 * F.col("cost"), F.col("high")).otherwise(F.col("cost"))
     surplus = F.coalesce((F.col("tokens") - 3) > (1 + SURPLUS) * expected * F.col("chars"), F.lit(False)) & (F.col("chars") >= 80)
@@ -132,7 +160,7 @@ def truncation(results: DataFrame) -> DataFrame:
         F.when(F.col("open"), "open structure").when(F.col("gap"), "ends between blocks")
         .when(standing & ~F.col("terminal") & F.col("midway"), "at a limit")
         .when(F.coalesce(F.col("tokens") > 1.1 * F.lit(dearest) * F.col("chars"), F.lit(False)) & (F.col("chars") >= 80), "fewer characters than tokens")
-        .when(surplus & ~F.col("terminal") & F.col("midway"), "fewer characters than tokens")
+        .when(surplus & inside, "fewer characters than tokens").when(F.col("broken"), "ends inside a word")
     )
     return judged.select("request_id", "source", reason.alias("reason"), reason.isNotNull().alias("truncated"))
 
