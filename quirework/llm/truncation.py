@@ -55,27 +55,26 @@ def _tail(col: Column) -> Column:
 def describe(results: DataFrame) -> DataFrame:
     """One row per call with non-empty ``raw``: lengths, ending and script profile; repeated rows count once."""
     raw = F.col("raw")
-    end = F.right(raw, F.lit(_END))
     count = lambda tag: (F.length(raw) - F.length(F.replace(raw, F.lit(tag), F.lit("")))) / len(tag)
     unbalanced = functools.reduce(lambda a, b: a | b, [count(f"<{tag}") > count(f"</{tag}>") for tag in _CONTAINERS])
     letters = F.length(raw)
-    cyrillic = letters - F.length(F.regexp_replace(raw, r"[Ѐ-ӿ]", ""))
-    extended = letters - F.length(F.regexp_replace(raw, r"[Ā-ſ]", ""))
-    other = letters - F.length(F.regexp_replace(raw, r"[Ͱ-Ͽ԰-퟿]", ""))
+    ascii_only = F.octet_length(raw) == letters
+    cyrillic, extended, other = (F.when(ascii_only, 0).otherwise(F.regexp_count(raw, F.lit(block))) for block in (r"[Ѐ-ӿ]", r"[Ā-ſ]", r"[Ͱ-Ͽ԰-῿⺀-퟿]"))
     # Shares of letters in classes; none at all is a class of its own.
     part = lambda x, width: F.when(x == 0, 0).otherwise(F.least(F.floor(x * 100 / letters / width) + 1, F.lit(9)))
-    tail_html = _tail(raw)
-    tail = F.trim(F.regexp_replace(tail_html, r"<[^<>]*>?", " "))
+    # Ends are columns of their own, so that they are made once for all that is asked of them.
+    ended = results.where(F.length(F.trim(raw)) > 0).select("request_id", "source", "token_count", "raw", F.right(raw, F.lit(_END)).alias("end"), _tail(raw).alias("tail_html"))
+    ended = ended.select("request_id", "source", "token_count", "raw", "end", F.right("tail_html", F.lit(200)).alias("last"), F.trim(F.regexp_replace("tail_html", r"<[^<>]*>?", " ")).alias("tail"))
+    end, last, tail = F.col("end"), F.col("last"), F.col("tail")
     return (
-        results.where(F.length(F.trim(raw)) > 0)
-        .select(
+        ended.select(
             "request_id", F.coalesce("source", F.lit("")).alias("source"), F.col("token_count").cast("long").alias("tokens"),
             F.length(raw).cast("long").alias("chars"), F.octet_length(raw).cast("long").alias("bytes"),
             ((~end.rlike(_CLOSED) | unbalanced) & raw.rlike(r"(?i)<div[^<>]*data-(bbox|label)")).alias("open"),
             (end.rlike(r"(?s)</div>[ \t]*\n\s*$") & raw.rlike(r"""(?s)<div[^<>]*data-bbox""")).alias("gap"),
             tail.rlike(_TERMINAL).alias("terminal"),
-            F.lower(F.regexp_extract(tail_html, _LAST_WORD, 1)).alias("last_word"),
-            (tail_html.rlike(_MIDWAY) & ~tail_html.rlike(_SAME_WORD) & ~tail_html.rlike(_NO_PROSE)).alias("midway"),
+            F.lower(F.regexp_extract(last, _LAST_WORD, 1)).alias("last_word"),
+            (last.rlike(_MIDWAY) & ~last.rlike(_SAME_WORD) & ~last.rlike(_NO_PROSE)).alias("midway"),
             F.concat_ws("/", part(cyrillic, 8), part(extended, 1), part(other, 20)).alias("profile"),
         )
         .dropDuplicates(["request_id", "source", "chars", "bytes", "tokens"])
