@@ -277,17 +277,21 @@ def page_languages(pages: DataFrame, profiles: Profiles) -> DataFrame:
     return pages.select("doc_id", "page_num", "markdown").where(F.length(F.trim("markdown")) > 0).mapInPandas(run, LANGUAGES_SCHEMA)
 
 
+def judged_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """:func:`page_languages` with profiles trained from ``labels``; without any usable label there are no rows."""
+    try:
+        return page_languages(pages, train(pages, labels))
+    except ValueError:  # no language is known
+        return pages.sparkSession.createDataFrame([], LANGUAGES_SCHEMA)
+
+
 def relabelled(pages: DataFrame, labels: DataFrame, profiles: Profiles | None = None) -> DataFrame:
     """One row per language of each page whose label is missing, unusable or wrong, or that holds several languages.
 
     Of several labels of a page the latest counts. Without any usable label in the table there are no rows.
     """
-    if profiles is None:
-        try:
-            profiles = train(pages, labels)
-        except ValueError:  # no language is known: no page can be judged
-            return pages.sparkSession.createDataFrame([], "doc_id string, page_num int, lang string")
-    judged = page_languages(pages, profiles).select("doc_id", "page_num", "main_lang", "languages")
+    made = page_languages(pages, profiles) if profiles is not None else judged_pages(pages, labels)
+    judged = made.select("doc_id", "page_num", "main_lang", "languages")
     named = _labelled(pages, labels).select("doc_id", "page_num", "label")
     wrong = F.coalesce(F.col("label") != F.col("main_lang"), F.lit(True)) | (F.size("languages") > 1)
     return judged.join(named, ["doc_id", "page_num"], "left").where(wrong).select("doc_id", "page_num", F.explode("languages").alias("lang")).distinct()

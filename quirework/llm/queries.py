@@ -75,7 +75,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stretch in one language of every page, with its confidence."""
     pages = read_table(spark, sf_dir, "page_artifacts")
-    judged = language.page_languages(pages, language.train(pages, read_table(spark, sf_dir, "page_langs")))
+    judged = language.judged_pages(pages, read_table(spark, sf_dir, "page_langs"))
     stretch = judged.select("doc_id", "page_num", F.posexplode("stretches").alias("stretch", "s"))
     return stretch.select("doc_id", "page_num", "stretch", F.col("s.lang").alias("lang"), F.col("s.n_sentences").alias("n_sentences"), F.round("s.confidence", 4).alias("confidence")).distinct()
 

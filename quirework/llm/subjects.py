@@ -324,7 +324,12 @@ def subject_shares(feats: DataFrame, model: Model) -> DataFrame:
 
 
 def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """Subjects of every document with their shares and probabilities; pasted test items don't count."""
+    """Subjects of every document with their shares and probabilities; pasted test items don't count.
+
+    Without any subject, or any usable label, there are no rows. Null, empty and blank texts have none either.
+    """
+    if not subjects.where("trim(subject) <> ''").limit(1).count():
+        return documents.sparkSession.createDataFrame([], SHARES_SCHEMA)
     feats = features(documents, items)
     return subject_shares(feats, train(feats, labels, subjects))
 

@@ -67,8 +67,9 @@ def test_edges(spark, tables):
     docs, labels, areas, items, _ = tables
     assert sj.document_subjects(docs, labels.limit(0), areas, items).count() == 0  # nothing learnt, nothing said
     assert sj.document_subjects(docs.limit(0), labels, areas, items.limit(0)).count() == 0
+    assert sj.document_subjects(docs, labels, areas.limit(0), items).count() == 0
     with pytest.raises(ValueError):
-        sj.document_subjects(docs, labels, areas.limit(0), items)
+        sj.train(sj.features(docs, None), labels, areas.limit(0))
     made = sj.composition(sj.document_subjects(docs, labels, areas)).collect()
     assert {r["subject"] for r in made} == set(TOPICS) and sum(r["n_documents"] for r in made) > 400
 
