@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -163,15 +164,15 @@ FOUND_SCHEMA = "doc_id bigint, item_id bigint, run_words int, coverage double"
 def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int, float]]:
     """(text, unit, longest run, coverage) of every text, given as its words, and unit that share a seed."""
     get = units.vocabulary.get
-    flat: list[int | None] = []
+    flat: list[int] = []
     ends = []
     for words in texts:
-        flat += map(get, words)
-        flat.append(None)
+        flat += map(get, words, repeat(0))
+        flat.append(0)
         ends.append(len(flat))
     if not len(units.hashes) or len(flat) < SEED_WORDS:
         return []
-    ids = np.nan_to_num(np.array(flat, np.float64)).astype(np.int64)
+    ids = np.array(flat, np.int64)
     known = (ids > 0).astype(np.int8)
     full = np.flatnonzero(sum(known[k : len(ids) - SEED_WORDS + 1 + k] for k in range(SEED_WORDS)) == SEED_WORDS)
     hashes = seed_hashes(ids)[full]
