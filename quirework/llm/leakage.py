@@ -5,8 +5,8 @@ does; five are few enough that no qualifying run can lack one (a run of 15 words
 changed has five unchanged words in a row somewhere). All documents are scanned for seeds with a rolling hash over
 whole batches. Where a document and a unit share a seed, they are tiled: the longest common runs of words are marked
 first, then the next longest among what is unmarked. A unit is leaked if tiles that follow each other in both texts
-make up 15 words in a row with at most one in eight changed or added; the coverage of the unit by all tiles, in any
-order, is reported too, so that reordered passages show.
+make up 15 words in a row with at most one in eight changed or added. Passages copied in another order have no such
+run: a unit of which tiles of at least five words, in any order, cover half, and 15 words or more, is reported too.
 
 The units go to the workers in blocks of bounded size, one scan of the documents per block; the test material may be of
 any size. Nothing about documents is collected.
@@ -28,6 +28,8 @@ RUN_WORDS = 15
 #: One word in so many may be changed or added.
 CHANGED_IN = 8
 MIN_TILE = 2
+#: Share of a unit that tiles of SEED_WORDS or more cover, in any order, from which on it is reported without a run.
+COVERED = 0.5
 #: Characters of test material that are sent to the workers at once.
 BLOCK_CHARS = 20_000_000
 
@@ -202,6 +204,11 @@ def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int,
     return out
 
 
+def given_away(run: int, coverage: float, n_words: int) -> bool:
+    """Whether a unit of ``n_words`` is leaked in a run, or in pieces of any order."""
+    return run >= RUN_WORDS or (coverage >= COVERED and round(coverage * n_words) >= RUN_WORDS)
+
+
 def unit_blocks(items: DataFrame, fields: tuple[str, ...] = ("passage", "question")) -> Iterator[Units]:
     """The test material in blocks of at most about BLOCK_CHARS characters; equal units are merged within a block."""
     longs = items.select("item_id", F.explode(F.array(*fields)).alias("unit")).where(F.length(F.trim("unit")) > 0)
@@ -216,8 +223,9 @@ def unit_blocks(items: DataFrame, fields: tuple[str, ...] = ("passage", "questio
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Documents and the items they give away: doc_id, item_id, run_words, coverage.
 
-    One row per document and item, the greatest run and coverage of its passage and question. Null and empty texts
-    match nothing; null passages and questions are no units; repeated rows count once.
+    One row per document and item, the greatest run and coverage of its passage and question, as far as they are given
+    away; run_words is below RUN_WORDS where only pieces in another order are. Null and empty texts match nothing; null
+    passages and questions are no units; repeated rows count once.
     """
     spark = documents.sparkSession
     out = None
@@ -228,7 +236,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
             block = shared.value
             for part in batches:
                 doc_ids = part["doc_id"].tolist()
-                rows = [(doc_ids[d], item, run, coverage) for d, u, run, coverage in scan(map(words_of, part["text"]), block) if run >= RUN_WORDS for item in block.items[u]]
+                rows = [(doc_ids[d], item, run, coverage) for d, u, run, coverage in scan(map(words_of, part["text"]), block) if given_away(run, coverage, len(block.ids[u])) for item in block.items[u]]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run_words", "coverage"])
 
         found = documents.select("doc_id", "text").where("text is not null").mapInPandas(run, FOUND_SCHEMA)

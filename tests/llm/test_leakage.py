@@ -73,6 +73,19 @@ def test_what_counts():
     assert not leaks(" ".join(words[12:]) + " and then " + " ".join(words[:12]))  # each part is too short
 
 
+def test_reordered_passages_show(spark):
+    words = [f"w{k}" for k in range(80)]
+    pieces = [words[k : k + 10] for k in range(0, 80, 10)]
+    order = [3, 0, 6, 1, 7, 4, 2, 5]
+    shuffled = " ".join(" ".join(pieces[k]) + " and" for k in order)
+    third = " ".join(" ".join(pieces[k]) + " and" for k in order[:3])
+    items = spark.createDataFrame([(1, " ".join(words), "w70 w71 w72 w73 w74 w75")], "item_id bigint, passage string, question string")
+    docs = spark.createDataFrame([(1, "x " + shuffled), (2, " ".join(words)), (3, third)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["run_words"], r["coverage"]) for r in lk.leaks(docs, items).collect()}
+    assert set(got) == {1, 2}  # a third in pieces is too little, and so is a short question
+    assert got[1][0] < lk.RUN_WORDS and got[1][1] == 1.0 and got[2] == (80, 1.0)
+
+
 def test_random_copies(spark):
     rng = random.Random(7)
     vocabulary = [f"w{k}" for k in range(300)]
