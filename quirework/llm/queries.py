@@ -107,8 +107,8 @@ def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subjects that hold at least a fifth of a document."""
-    return _shares(spark, sf_dir).where(F.col("share") >= subjects.SHARE).select("doc_id", "subject").distinct()
+    """Subjects that hold at least a fifth of a document, by the calibrated probability."""
+    return subjects.decided(_shares(spark, sf_dir)).select("doc_id", "subject").distinct()
 
 
 def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,9 @@ over the paragraphs of all documents, and calibrated on labelled documents that
   the maximization step adds up the expected word counts of all paragraphs. Counts are added up in every partition
   before anything is shuffled, and their size is BUCKETS times the number of subjects.
 * The scores' scale (naive Bayes is overconfident) and one logistic curve per subject are fitted on the held-out
-  documents: the curve turns a subject's share of a document into the probability that the subject is named.
+  documents: the curve turns a subject's share of a document into the probability that the document is about it, for
+  every subject on its own. Labels that are wrong even where a share leaves no doubt don't bend the curves. The
+  probability decides which subjects a document has.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ SMOOTHING = 2000.0
 CONCENTRATED = (0.35, 0.6)
 #: A subject holds at least this share of a document's words.
 SHARE = 0.2
+#: Calibrated probability from which on a document is about a subject.
+LIKELY = 0.5
 #: Nats by which the best subject must beat the mean of all for a document to be about anything.
 EVIDENCE = 2.0
 _SCALES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
@@ -279,21 +283,48 @@ def _fit_curves(held: DataFrame, model: Model) -> np.ndarray:
         yield pd.DataFrame({"s": s, "b": b, "y": y, "n": table[s, b, y]})
 
     rows = held.select("words", "ends", "named").mapInPandas(run, "s int, b int, y int, n double").groupBy("s", "b", "y").agg(F.sum("n").alias("n")).toPandas()
-    curves = model.curves.copy()
-    for s, own in rows.groupby("s"):
-        x, y, w = own["b"].to_numpy() / steps, own["y"].to_numpy(float), own["n"].to_numpy()
-        a, b = 12.0, -12.0 * SHARE
-        for _ in range(50):  # Newton steps with a weak pull to the start
-            p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-            g = np.array([(w * (y - p) * x).sum() - 0.01 * (a - 12.0), (w * (y - p)).sum() - 0.01 * (b + 12.0 * SHARE)])
-            v = w * p * (1 - p)
-            h = np.array([[(v * x * x).sum() + 0.01, (v * x).sum()], [(v * x).sum(), v.sum() + 0.01]])
-            step = np.linalg.solve(h, g)
-            a, b = a + np.clip(step[0], -5, 5), b + np.clip(step[1], -5, 5)
-        curves[s] = a, b
+    return _curves(rows.assign(x=rows["b"] / steps), model.curves)
+
+
+def _wrong_labels(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Part of the labels at the shares ``x``, which leave no doubt, that say ``y`` all the same; at most two fifths."""
+    return min(0.4, (w[x & y].sum() + 0.5) / (w[x].sum() + 10.0))
+
+
+def _curves(rows: pd.DataFrame, start: np.ndarray) -> np.ndarray:
+    """Logistic curves through rows of subject (s), share (x), whether named (y) and count (n).
+
+    One curve is fitted to all subjects, beginning at ``start``, and every subject's own is pulled to it, so that a
+    subject with few held-out labels has the common curve.
+    """
+    x, y, w = rows["x"].to_numpy(), rows["y"].to_numpy(float), rows["n"].to_numpy(float)
+    # What is named without a share, and not named with twice the share it takes, is wrongly labelled: the curve lies
+    # between. One subject of several is left out more often than the only one.
+    low = _wrong_labels(x < SHARE / 4, y == 1, w)
+    mixed, whole = _wrong_labels((x >= 2 * SHARE) & (x < 0.9), y == 0, w), _wrong_labels(x >= 0.9, y == 0, w)
+    span = 1 - low - np.where(x < 0.9, mixed, whole)
+    common = _curve(x, y, w, low, span, start[0], (0.01, 0.01))
+    curves = np.tile(common, (len(start), 1))
+    for s in rows["s"].unique():
+        own = (rows["s"] == s).to_numpy()
+        curves[s] = _curve(x[own], y[own], w[own], low, span[own], common, (0.05, 1.0))
     return curves
 
 
+def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray, low: float, span: np.ndarray, start: np.ndarray, pull: tuple[float, float]) -> np.ndarray:
+    """Slope and offset of one curve, by scoring steps with a pull to the start."""
+    at = np.array(start, float)
+    basis = np.stack([x, np.ones_like(x)])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(at @ basis, -30, 30)))
+        named = low + span * p
+        slope = span * p * (1 - p)
+        g = basis @ (w * (y - named) * slope / (named * (1 - named))) - pull * (at - start)
+        h = (basis * (w * slope**2 / (named * (1 - named)))) @ basis.T + np.diag(pull)
+        at += np.clip(np.linalg.solve(h, g), -5, 5)
+    return at
+
+
 SHARES_SCHEMA = "doc_id bigint, subject string, share double, probability double, n_words bigint"
 
 
@@ -334,8 +365,13 @@ def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFra
     return subject_shares(feats, train(feats, labels, subjects))
 
 
+def decided(shares: DataFrame) -> DataFrame:
+    """Rows of the subjects that the documents are about, by their calibrated probability."""
+    return shares.where(F.col("probability") >= LIKELY)
+
+
 def composition(shares: DataFrame) -> DataFrame:
     """Make-up of the corpus: documents and words of every subject."""
     return shares.groupBy("subject").agg(
-        F.sum(F.when(F.col("share") >= SHARE, 1).otherwise(0)).alias("n_documents"), F.round(F.sum(F.col("share") * F.col("n_words"))).cast("bigint").alias("n_words")
+        F.sum(F.when(F.col("probability") >= LIKELY, 1).otherwise(0)).alias("n_documents"), F.round(F.sum(F.col("share") * F.col("n_words"))).cast("bigint").alias("n_words")
     )

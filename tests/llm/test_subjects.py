@@ -51,6 +51,35 @@ def test_held_out_accuracy(spark, tables):
     assert 0.5 < np.median(probabilities) <= 1
 
 
+def test_calibrated_probability_decides(spark, monkeypatch):
+    rows = [(1, "a", 0.15, 0.8, 100), (1, "b", 0.3, 0.3, 100), (2, "a", 0.9, 0.99, 50)]
+    shares = spark.createDataFrame(rows, sj.SHARES_SCHEMA)
+    from quirework.llm import queries
+
+    monkeypatch.setattr(queries, "_shares", lambda *_: shares)
+    assert {tuple(r) for r in queries.p8_found(spark, "").collect()} == {(1, "a"), (2, "a")}
+    assert {r["subject"]: r["n_documents"] for r in queries.p8_composition(spark, "").collect()} == {"a": 2, "b": 0}
+
+
+def test_curves_follow_the_subject_and_not_wrong_labels():
+    import pandas as pd
+
+    def rows(s, limit, n):  # named from ``limit`` on, but for one label in eight
+        out = []
+        for k in range(21):
+            x = k / 20
+            yes = n * 7 // 8 if x >= limit else n // 80
+            out += [(s, x, 1, yes), (s, x, 0, n - yes)]
+        return out
+
+    found = rows(0, 0.2, 400) + rows(1, 0.34, 400) + rows(2, 0.2, 400)
+    start = np.tile([12.0, -12.0 * sj.SHARE], (4, 1))
+    a, b = sj._curves(pd.DataFrame(found, columns=["s", "x", "y", "n"]), start).T
+    at = -b / a
+    assert at[0] == pytest.approx(0.175, abs=0.03) and at[1] == pytest.approx(0.325, abs=0.03)
+    assert 0.15 < at[3] < 0.33  # without labels of its own: the common curve
+
+
 def test_pasted_items_do_not_count(spark, tables):
     docs, _, _, items, _ = tables
     rows = {r["doc_id"]: r["words"] for r in sj.features(docs.where("doc_id in (1, 905)"), items).collect()}
