@@ -230,14 +230,9 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
 
         def expected(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             known_model = shared.value
-            n = len(known_model.subjects)
-            acc = np.zeros(BUCKETS * n)
+            acc = np.zeros((BUCKETS, len(known_model.subjects)))
             for _, batch in _batches(batches):
-                _, post, _ = known_model.judge(batch)
-                top = post.argmax(axis=1)
-                weight = post[np.arange(len(top)), top]
-                weight = np.where(weight > 0.5, weight, 0.0)
-                acc += np.bincount(batch.words.astype(np.int64) * n + np.repeat(top, batch.size), np.repeat(weight, batch.size), minlength=len(acc))
+                acc += expected_counts(batch, known_model.judge(batch)[1])
             yield _cells(acc)
 
         counts = _count(feats.select("words", "ends"), expected, len(names))
@@ -249,6 +244,11 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
     return model
 
 
+def expected_counts(batch: Batch, post: np.ndarray) -> np.ndarray:
+    """Expected word counts of every subject (BUCKETS rows), given the posteriors of the paragraphs."""
+    return np.stack([np.bincount(batch.words, np.repeat(own, batch.size), minlength=BUCKETS) for own in post.T], axis=1)
+
+
 def _fit_scale(held: DataFrame, model: Model, index: dict[str, int]) -> float:
     """The scale of scores under which the held-out labels are likeliest."""
     shared = held.sparkSession.sparkContext.broadcast(model)

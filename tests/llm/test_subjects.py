@@ -111,3 +111,13 @@ def test_mixture_of_one_document():
     scores, post, theta = model.judge(batch)
     assert theta[0] == pytest.approx([0.5, 0.5], abs=0.05) and abs(scores[2]).max() < 0.05
     assert post[0, 0] > 0.7 and post[1, 1] > 0.7
+
+
+def test_every_paragraph_counts_for_every_subject(tables, monkeypatch):
+    docs, labels, areas, items, _ = tables
+    undecided = docs.sparkSession.createDataFrame([(2000 + k, " ".join(COMMON), "") for k in range(300)], docs.schema)
+    feats, made, count = sj.features(docs.unionByName(undecided), items), [], sj._count
+    monkeypatch.setattr(sj, "_count", lambda *args: made.append(count(*args)) or made[-1])
+    sj.train(feats, labels, areas)
+    n_words = sum(len(r["words"]) for r in feats.collect())
+    assert made[1].sum() == pytest.approx(n_words, rel=1e-3)  # undecided and mixed paragraphs too
