@@ -95,12 +95,8 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 
 def _items(sizes: DataFrame, containers: DataFrame) -> DataFrame:
     """Pieces of all documents for every container: whole windows of large documents, and one rest or whole document."""
-    capacities = containers.select("container_id", "capacity_tokens").where("container_id is not null and capacity_tokens > 0").distinct()
-    each = [(int(r[0]), int(r[1])) for r in capacities.limit(1000).collect()]  # a handful of capacities
-    listed = F.array(*[F.struct(F.lit(i).alias("container_id"), F.lit(c).alias("capacity_tokens")) for i, c in each])
-    if not each:
-        listed = F.array().cast("array<struct<container_id: int, capacity_tokens: int>>")
-    per = sizes.where("n_tokens > 0").select("doc_id", "n_tokens", F.explode(listed).alias("c")).select("doc_id", "n_tokens", "c.*")
+    capacities = containers.select(F.col("container_id").cast("int"), F.col("capacity_tokens").cast("int")).where("container_id is not null and capacity_tokens > 0").distinct()
+    per = sizes.where("n_tokens > 0").select("doc_id", "n_tokens").crossJoin(F.broadcast(capacities))  # every container, however many
     pieces = F.sequence(F.lit(0), (F.ceil(F.col("n_tokens") / F.col("capacity_tokens")) - 1).cast("int"))
     exploded = per.select("container_id", "capacity_tokens", "doc_id", F.explode(pieces).alias("piece"), "n_tokens")
     start = F.col("piece").cast("long") * F.col("capacity_tokens")

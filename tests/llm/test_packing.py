@@ -91,3 +91,9 @@ def test_sizes_and_edges(spark):
     assert pk.pack(pk.token_sizes(docs), empty).count() == 0
     assert pk.pack(pk.token_sizes(docs.limit(0)), spark.createDataFrame([(1, 8)], "container_id int, capacity_tokens int")).count() == 0
     assert pk.pack(pk.token_sizes(docs), spark.createDataFrame([(1, 8)], "container_id int, capacity_tokens int")).count() == 3 + (got[0][1] > 8) * 2
+
+
+def test_every_container_is_packed(spark):
+    containers = spark.range(1100).selectExpr("cast(id as int) container_id", "cast(id % 7 + 8 as int) capacity_tokens")
+    sizes = spark.createDataFrame([(1, 5), (2, 9)], "doc_id bigint, n_tokens bigint")
+    assert pk.pack(sizes, containers).select("container_id").distinct().count() == 1100
