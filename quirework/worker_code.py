@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from quirework.session import ensure_checkpoint_dir
+from quirework.session import scratch_folder
 
 _sent: set[str] = set()
 
@@ -24,7 +23,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for path in sorted(package.rglob("*.py")):
             z.write(path, f"quirework/{path.relative_to(package)}")
-    target = context._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/quirework_{uuid.uuid4().hex}.zip")
+    target = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_folder(spark, 'code')}/quirework.zip")
     system = target.getFileSystem(context._jsc.hadoopConfiguration())
     out = system.create(target)
     try:
