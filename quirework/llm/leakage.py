@@ -1,15 +1,25 @@
 """Problem 7: passages of held-out test items in the corpus, by greedy string tiling.
 
-Passages and questions of the items are units. Every five consecutive words of a unit are a seed, hashed as Karp-Rabin
-does; five are few enough that no qualifying run can lack one (a run of 15 words or more in which one word in eight is
-changed has five unchanged words in a row somewhere). All documents are scanned for seeds with a rolling hash over
-whole batches. Where a document and a unit share a seed, they are tiled: the longest common runs of words are marked
-first, then the next longest among what is unmarked. A unit is leaked if tiles that follow each other in both texts
-make up 15 words in a row with at most one in eight changed or added. Passages copied in another order have no such
-run: a unit of which tiles of at least five words, in any order, cover half, and 15 words or more, is reported too.
-
-The units go to the workers in blocks of bounded size, one scan of the documents per block; the test material may be of
-any size. Nothing about documents is collected.
+Passages and questions of the items are units; equal ones are one unit. Every five consecutive words of a unit are a
+seed, hashed as Karp-Rabin does; five are few enough that no qualifying run can lack one (a run of 15 words or more in
+which one word in eight is changed has five unchanged words in a row somewhere). Documents and units are joined on
+seeds; where they share one, they are tiled by running Karp-Rabin: the longest common runs of unmarked words are
+marked first, then shorter ones, down to two words.
+
+How much of the unit the tiles cover decides. A unit is given away
+
+* in a *stretch*: tiles of at least five words, in whatever order the document has them, cover all but one word in
+  eight of 15 words or more in a row of the unit;
+* in a *run*: the same with shorter tiles too, if they follow each other in both texts and no more than one word in
+  eight is changed or added;
+* in *pieces*: tiles of at least five words cover half of the unit and 15 words, or, of a unit shorter than 15 words,
+  all but one word in eight.
+
+Words are runs of letters or digits; in scripts written without spaces every character is one.
+
+Test material up to ``BLOCK_CHARS`` characters is sent to the workers, and documents are scanned once. Larger material
+stays a table: documents are scanned for seeds that a filter of fixed size lets through, those are joined with the
+table of seeds, and only documents and units that share one are read again and tiled. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -23,15 +33,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.session import cut_lineage
+
 SEED_WORDS = 5
 RUN_WORDS = 15
 #: One word in so many may be changed or added.
 CHANGED_IN = 8
 MIN_TILE = 2
-#: Share of a unit that tiles of SEED_WORDS or more cover, in any order, from which on it is reported without a run.
+#: Share of a unit that tiles of SEED_WORDS or more cover, in any order, from which on it is given away in pieces.
 COVERED = 0.5
-#: Characters of test material that are sent to the workers at once.
+#: Characters of test material up to which it is sent to the workers.
 BLOCK_CHARS = 20_000_000
+#: Words that a match must have for the first marking; longer ones are met at the same time.
+FIRST_SEARCH = 20
+#: Bits of the filter of seeds, as a power of two: 8 MB.
+FILTER_BITS = 26
+#: A document's units are compared with it in at most so many groups.
+UNIT_GROUPS = 64
 
 _SEPARATOR = re.compile(r"^[ \t]*\d*-{8,}[ \t]*$|<!--.*?-->", re.M | re.S)
 _LINK = re.compile(r"\]\([^()\s]*\)|\]\]|\[\[(?:[^\[\]|\n]*\|)*|\{\{(?:[^{}|\n]*\|)*|\\[a-zA-Z]+\{|\[/?[a-z]+(?:=[^\]\n]*)?\]")
@@ -39,7 +57,10 @@ _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _REFERENCE = re.compile(r"&(?:[a-zA-Z]{2,8}|#\d{2,6});")
 _HYPHEN = re.compile(r"(?<=\w)[-­¬‐]\s*\n\s*(?=\w)|[­¬](?=\w)")
 _HYPHEN_GAP = re.compile(r"(?<=[^\W\d_])[-­¬‐] (?=[^\W\d_])")
-_WORD = re.compile(r"[^\W_]+")
+# Scripts written without spaces (Thai to Khmer, kana, Han).
+UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{UNSPACED}]|[^\W_{UNSPACED}]+")
+_SPACED_WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -56,14 +77,15 @@ def words_of(text: str | None) -> list[str]:
         text = _TAG.sub("", text)
     if "&" in text:
         text = _REFERENCE.sub(" ", text)
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    return (_SPACED_WORD if text.isascii() or max(text) < "฀" else _WORD).findall(text)
 
 
 class Units:
-    """Units of test material with their seeds."""
+    """Units of test material with their seeds; ``names`` says what stands for each of them in results."""
 
-    def __init__(self, texts: list[str], items: list[list[int]]) -> None:
-        self.items = items
+    def __init__(self, texts: list[str], names: list[object]) -> None:
+        self.names = names
         words = [words_of(t) for t in texts]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for unit in words for w in unit}), 1)}
         self.ids = [np.array([self.vocabulary[w] for w in unit], np.int64) for unit in words]
@@ -91,38 +113,92 @@ def seed_hashes(ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def tiles(text: list[int], unit: list[int], shortest: int = MIN_TILE) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (position in text, position in unit, length) of the longest non-overlapping common runs."""
+_BASE = 0x9E3779B97F4A7C15
+_powers = np.ones(1, np.uint64)
+
+
+def _powers_of(n: int) -> np.ndarray:
+    """The first ``n`` powers of the base of the rolling hash."""
+    global _powers
+    if len(_powers) < n:
+        with np.errstate(over="ignore"):
+            _powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(2 * n, _BASE, np.uint64), dtype=np.uint64)])
+    return _powers[:n]
+
+
+class _Rolling:
+    """Karp-Rabin hashes of all windows of a sequence, for any width."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        self.n = len(ids)
+        with np.errstate(over="ignore"):
+            mixed = ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)
+            mixed ^= mixed >> np.uint64(32)
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * _powers_of(self.n), dtype=np.uint64)])
+
+    def windows(self, width: int, used: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Beginnings and hashes of the windows without a used word; ``longest`` puts two sequences on one scale."""
+        at = np.arange(self.n - width + 1)
+        if used.any():
+            taken = np.concatenate([[0], np.cumsum(used)])
+            at = at[taken[width:] == taken[: self.n - width + 1]]
+        with np.errstate(over="ignore"):
+            return at, (self.sums[at + width] - self.sums[at]) * _powers_of(longest)[longest - 1 - at]
+
+
+def _extended(text: np.ndarray, unit: np.ndarray, used_text: np.ndarray, used_unit: np.ndarray, i: int, j: int, width: int) -> int:
+    """Length of the run of equal, unused words that begins at (i, j); 0 if the window isn't equal after all."""
+    n = min(len(text) - i, len(unit) - j)
+    same = (text[i : i + n] == unit[j : j + n]) & ~used_text[i : i + n] & ~used_unit[j : j + n]
+    length = n if same.all() else int(same.argmin())
+    return length if length >= width else 0
+
+
+def tiles(text: list[int] | np.ndarray, unit: list[int] | np.ndarray, shortest: int = MIN_TILE) -> list[tuple[int, int, int]]:
+    """Greedy string tiling: (position in text, position in unit, length) of the longest non-overlapping common runs.
+
+    By running Karp-Rabin: all unmarked windows of a width are compared by rolling hashes and matches are extended; the
+    longest are marked first. What earlier marks cut short comes again. Then the width is halved.
+    """
+    text, unit = np.asarray(text, np.int64), np.asarray(unit, np.int64)
     if len(text) < shortest or len(unit) < shortest:
         return []
-    places: dict[tuple[int, ...], list[int]] = {}
-    for j in range(len(unit) - shortest + 1):
-        places.setdefault(tuple(unit[j : j + shortest]), []).append(j)
-    runs = []
-    for i in range(len(text) - shortest + 1):
-        for j in places.get(tuple(text[i : i + shortest]), ()):
-            if i and j and text[i - 1] == unit[j - 1] and text[i - 1]:
-                continue  # inside a longer run
-            k = shortest
-            while i + k < len(text) and j + k < len(unit) and text[i + k] == unit[j + k]:
-                k += 1
-            runs.append((k, i, j))
-    runs.sort(key=lambda r: (-r[0], r[1], r[2]))
+    roll_text, roll_unit, longest = _Rolling(text), _Rolling(unit), max(len(text), len(unit))
     used_text, used_unit = np.zeros(len(text), bool), np.zeros(len(unit), bool)
-    found = []
-    while runs:
-        rest = []
-        longest = runs[0][0]
-        for k, i, j in runs:
-            free = ~(used_text[i : i + k] | used_unit[j : j + k])
-            if free.all() and k == longest:
-                used_text[i : i + k] = used_unit[j : j + k] = True
-                found.append((i, j, k))
-                continue
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
-            rest += [(b - a, i + a, j + a) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= shortest]
-        runs = sorted(rest, key=lambda r: (-r[0], r[1], r[2]))
-    return sorted(found)
+    found: list[tuple[int, int, int]] = []
+    width = max(shortest, min(FIRST_SEARCH, len(text), len(unit)))
+    while True:
+        at, hashes = roll_text.windows(width, used_text, longest)
+        own, keys = roll_unit.windows(width, used_unit, longest)
+        order = np.argsort(keys, kind="stable")
+        keys, own = keys[order], own[order]
+        first, last = np.searchsorted(keys, hashes), np.searchsorted(keys, hashes, side="right")
+        runs, seen = [], set()
+        for k in np.flatnonzero(last > first).tolist():
+            i = int(at[k])
+            for j in own[first[k] : last[k]].tolist():
+                if (i - 1, j - 1) in seen:
+                    seen.add((i, j))
+                    continue  # inside a longer run
+                length = _extended(text, unit, used_text, used_unit, i, j, width)
+                if length:
+                    seen.add((i, j))
+                    runs.append((length, i, j))
+        runs.sort(key=lambda r: (-r[0], r[1], r[2]))
+        while runs:
+            rest, most = [], runs[0][0]
+            for length, i, j in runs:
+                free = ~(used_text[i : i + length] | used_unit[j : j + length])
+                if length == most and free.all():
+                    used_text[i : i + length] = used_unit[j : j + length] = True
+                    found.append((i, j, length))
+                    continue
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+                rest += [(b - a, i + a, j + a) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= width]
+            runs = sorted(rest, key=lambda r: (-r[0], r[1], r[2]))
+        if width == shortest:
+            return sorted(found)
+        width = max(shortest, width // 2)
 
 
 def longest_run(found: list[tuple[int, int, int]]) -> int:
@@ -147,6 +223,20 @@ def longest_run(found: list[tuple[int, int, int]]) -> int:
     return best
 
 
+def longest_stretch(covered: np.ndarray) -> int:
+    """Most words in a row of a unit, beginning and ending covered, of which at most one in CHANGED_IN isn't covered."""
+    at = np.flatnonzero(covered)
+    if not len(at):
+        return 0
+    # From a to b, b - a + 1 words of which CHANGED_IN times the uncovered may be as many: the slack must not fall.
+    slack = np.cumsum(np.where(covered, 1, 1 - CHANGED_IN))
+    before, after = slack[at] - 1, slack[at]
+    lowest = np.minimum.accumulate(before)
+    # The earliest covered word from which the slack is no less: lowest never rises, so it is found by bisection.
+    first = np.searchsorted(-lowest, -after)
+    return int((at - at[first]).max()) + 1
+
+
 def _windows(hits: list[tuple[int, int]], length: int, size: int) -> list[tuple[int, int]]:
     """Stretches of a document that a unit may take up, given the seeds they share."""
     pad = length // 4 + 4
@@ -160,11 +250,26 @@ def _windows(hits: list[tuple[int, int]], length: int, size: int) -> list[tuple[
     return [tuple(x) for x in merged]
 
 
-FOUND_SCHEMA = "doc_id bigint, item_id bigint, run_words int, coverage double"
-
+def compared(own: np.ndarray, target: np.ndarray, hits: list[tuple[int, int]]) -> tuple[int, int, float]:
+    """Longest run, longest stretch and coverage of a unit in a document, given the seeds that they share.
 
-def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int, float]]:
-    """(text, unit, longest run, coverage) of every text, given as its words, and unit that share a seed."""
+    Places of the document that lie apart are tiled apart, and the best of them counts; coverage is of all.
+    """
+    run, stretch, covered = 0, 0, np.zeros(len(target), bool)
+    for a, b in _windows(hits, len(target), len(own)):
+        found = tiles(own[a:b], target)
+        run = max(run, longest_run(found))
+        here = np.zeros(len(target), bool)
+        for _, j, k in found:
+            if k >= SEED_WORDS:
+                here[j : j + k] = True
+        stretch = max(stretch, longest_stretch(here))
+        covered |= here
+    return run, stretch, float(covered.mean())
+
+
+def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int, int, float]]:
+    """(text, unit, longest run, longest stretch, coverage) of every text, given as its words, and unit that share a seed."""
     get = units.vocabulary.get
     flat: list[int] = []
     ends = []
@@ -192,55 +297,117 @@ def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int,
     out = []
     for (doc, unit), hits in pairs.items():
         begin = ends[doc - 1] if doc else 0
-        own, target = ids[begin : ends[doc] - 1], units.ids[unit].tolist()
-        run, covered = 0, np.zeros(len(target), bool)
-        for a, b in _windows(hits, len(target), len(own)):
-            found = tiles(own[a:b].tolist(), target)
-            run = max(run, longest_run(found))
-            for _, j, k in found:
-                if k >= SEED_WORDS:
-                    covered[j : j + k] = True
-        out.append((doc, unit, run, float(covered.mean())))
+        out.append((doc, unit, *compared(ids[begin : ends[doc] - 1], units.ids[unit], hits)))
     return out
 
 
-def given_away(run: int, coverage: float, n_words: int) -> bool:
-    """Whether a unit of ``n_words`` is leaked in a run, or in pieces of any order."""
-    return run >= RUN_WORDS or (coverage >= COVERED and round(coverage * n_words) >= RUN_WORDS)
+def given_away(run: int, stretch: int, coverage: float, n_words: int) -> bool:
+    """Whether a unit of ``n_words`` is leaked: by a run, by a covered stretch, or by pieces of any order."""
+    if max(run, stretch) >= RUN_WORDS:
+        return True
+    if n_words < RUN_WORDS:
+        return n_words >= SEED_WORDS and coverage * CHANGED_IN >= CHANGED_IN - 1
+    return coverage >= COVERED and round(coverage * n_words) >= RUN_WORDS
 
 
-def unit_blocks(items: DataFrame, fields: tuple[str, ...] = ("passage", "question")) -> Iterator[Units]:
-    """The test material in blocks of at most about BLOCK_CHARS characters; equal units are merged within a block."""
-    longs = items.select("item_id", F.explode(F.array(*fields)).alias("unit")).where(F.length(F.trim("unit")) > 0)
-    total = longs.agg(F.coalesce(F.sum(F.length("unit")), F.lit(0))).first()[0]
-    n = total // BLOCK_CHARS + 1
-    for block in range(n):
-        part = longs.where(F.pmod(F.xxhash64("unit"), F.lit(n)) == block).groupBy("unit").agg(F.sort_array(F.collect_set("item_id")).alias("items")).toPandas()
-        if len(part):
-            yield Units(part["unit"].tolist(), [list(map(int, x)) for x in part["items"]])
+def material(items: DataFrame, fields: tuple[str, ...] = ("passage", "question")) -> tuple[DataFrame, DataFrame, bool]:
+    """Units (unit_id, unit), the items of each (unit_id, item_id), and whether the units are few enough to be sent out.
+
+    Equal texts are one unit. ``unit_id`` is the text's hash of 128 bits.
+    """
+    longs = items.select("item_id", F.explode(F.array(*fields)).alias("unit")).where(F.length(F.trim("unit")) > 0).withColumn("unit_id", F.md5("unit"))
+    units = longs.groupBy("unit_id").agg(F.first("unit").alias("unit"))
+    total = units.agg(F.coalesce(F.sum(F.length("unit")), F.lit(0))).first()[0]
+    return units, longs.select("unit_id", "item_id").distinct(), total <= BLOCK_CHARS
+
+
+def sent(units: DataFrame) -> Units:
+    """Units in memory, for material that :func:`material` found few enough."""
+    rows = units.toPandas().sort_values("unit_id")
+    return Units(rows["unit"].tolist(), rows["unit_id"].tolist())
+
+
+UNIT_SCHEMA = "doc_id bigint, unit_id string, run_words int, stretch_words int, coverage double"
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in UNIT_SCHEMA.split(", ")])
+
+
+def _sent_leaks(documents: DataFrame, units: DataFrame) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(sent(units))  # at most BLOCK_CHARS characters
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for part in batches:
+            doc_ids = part["doc_id"].tolist()
+            found = scan(map(words_of, part["text"]), known)
+            yield _frame([(doc_ids[d], known.names[u], run, stretch, coverage) for d, u, run, stretch, coverage in found if given_away(run, stretch, coverage, len(known.ids[u]))])
+
+    return documents.select("doc_id", "text").where("text is not null").mapInPandas(run, UNIT_SCHEMA)
+
+
+def _word_hashes(words: list[str]) -> np.ndarray:
+    """Word ids that need no vocabulary."""
+    return pd.util.hash_array(np.array(words, object), categorize=True).view(np.int64) if words else np.zeros(0, np.int64)
+
+
+def _joined_leaks(documents: DataFrame, units: DataFrame) -> DataFrame:
+    """The same by joins, for material of any size."""
+    spark = documents.sparkSession
+
+    @F.pandas_udf("array<bigint>")
+    def seeds(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(seed_hashes(_word_hashes(words_of(t)))).view(np.int64) for t in texts], dtype=object)
+
+    seeded = cut_lineage(units.select("unit_id", F.explode(seeds("unit")).alias("seed")))
+    mask = (1 << FILTER_BITS) - 1
+    slot = F.col("seed").bitwiseAND(mask)
+    # Only set bytes come to the driver, at most 2**(FILTER_BITS - 3).
+    some = seeded.select(F.shiftright(slot, 3).alias("byte"), F.expr("shiftleft(1, cast(seed & 7 as int))").alias("bit")).groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    table[some["byte"].to_numpy(np.int64)] = some["bits"].to_numpy(np.uint8)
+    shared = spark.sparkContext.broadcast(table)
+
+    def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            docs, found = [], []
+            for doc, text in zip(part["doc_id"].tolist(), part["text"]):
+                own = np.unique(seed_hashes(_word_hashes(words_of(text)))).view(np.int64)
+                own = own[(shared.value[(own & mask) >> 3] >> (own & 7).astype(np.uint8)) & 1 > 0]
+                docs.append(np.full(len(own), doc))
+                found.append(own)
+            yield pd.DataFrame({"doc_id": np.concatenate(docs), "seed": np.concatenate(found)}) if docs else pd.DataFrame({"doc_id": [], "seed": []})
+
+    texts = documents.select("doc_id", "text").where("text is not null")
+    pairs = texts.mapInPandas(hits, "doc_id bigint, seed bigint").join(seeded, "seed").select("doc_id", "unit_id").distinct()
+    group = F.pmod(F.xxhash64("unit_id"), F.lit(UNIT_GROUPS))
+    grouped = pairs.join(units, "unit_id").groupBy("doc_id", group.alias("unit_group")).agg(F.collect_list("unit_id").alias("names"), F.collect_list("unit").alias("units"))
+    both = texts.join(grouped, "doc_id").select("doc_id", "text", "names", "units")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            rows = []
+            for doc, text, names, own in part.itertuples(index=False):
+                known = Units(list(own), list(names))
+                rows += [(doc, known.names[u], run, stretch, coverage) for _, u, run, stretch, coverage in scan([words_of(text)], known) if given_away(run, stretch, coverage, len(known.ids[u]))]
+            yield _frame(rows)
+
+    return both.mapInPandas(run, UNIT_SCHEMA)
+
+
+def leaked_units(documents: DataFrame, units: DataFrame, few: bool) -> DataFrame:
+    """Documents and the units they give away: doc_id, unit_id, run_words, stretch_words, coverage; repeated documents give repeated rows."""
+    return _sent_leaks(documents, units) if few else _joined_leaks(documents, units)
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents and the items they give away: doc_id, item_id, run_words, coverage.
+    """Documents and the items they give away: doc_id, item_id, run_words, stretch_words, coverage.
 
-    One row per document and item, the greatest run and coverage of its passage and question, as far as they are given
-    away; run_words is below RUN_WORDS where only pieces in another order are. Null and empty texts match nothing; null
-    passages and questions are no units; repeated rows count once.
+    One row per document and item, the greatest run, stretch and coverage of its passage and question, as far as they
+    are given away. Null and empty texts match nothing; null passages and questions are no units; repeated rows count
+    once; without items there are no rows.
     """
-    spark = documents.sparkSession
-    out = None
-    for units in unit_blocks(items):
-        shared = spark.sparkContext.broadcast(units)  # bounded by BLOCK_CHARS
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            block = shared.value
-            for part in batches:
-                doc_ids = part["doc_id"].tolist()
-                rows = [(doc_ids[d], item, run, coverage) for d, u, run, coverage in scan(map(words_of, part["text"]), block) if given_away(run, coverage, len(block.ids[u])) for item in block.items[u]]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run_words", "coverage"])
-
-        found = documents.select("doc_id", "text").where("text is not null").mapInPandas(run, FOUND_SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], FOUND_SCHEMA)
-    return out.groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.max("coverage").alias("coverage"))
+    units, owners, few = material(items)
+    found = leaked_units(documents, units, few).groupBy("doc_id", "unit_id").agg(*[F.max(c).alias(c) for c in ("run_words", "stretch_words", "coverage")])
+    return found.join(owners, "unit_id").groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("run_words", "stretch_words", "coverage")])

@@ -91,13 +91,13 @@ def p6_fill_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and the test items they give away in a run of words."""
+    """Documents and the test items of which they hold 15 words in a row, by the tiles that cover them."""
     found = leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
-    return found.where(F.col("run_words") >= leakage.RUN_WORDS).select("doc_id", "item_id")
+    return found.where(F.greatest("run_words", "stretch_words") >= leakage.RUN_WORDS).select("doc_id", "item_id")
 
 
 def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longest run and coverage of every item that a document gives away in a run or in pieces of any order."""
+    """Longest run, longest covered stretch and coverage of every item that a document gives away, short items and pieces too."""
     return leakage.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).withColumn("coverage", F.round("coverage", 6))
 
 

@@ -10,7 +10,8 @@ over the paragraphs of all documents, and calibrated on labelled documents that
   train the model.
 * In each expectation step every paragraph gets a posterior over subjects, with its document's mixture as the prior;
   the maximization step adds up the expected word counts of all paragraphs. Counts are added up in every partition
-  before anything is shuffled, and their size is BUCKETS times the number of subjects.
+  before anything is shuffled, and their size is BUCKETS times the number of subjects. Steps end when the likelihood
+  of the paragraphs rises by less than EM_TOLERANCE of itself.
 * The scores' scale (naive Bayes is overconfident) and one logistic curve per subject are fitted on the held-out
   documents: the curve turns a subject's share of a document into the probability that the document is about it, for
   every subject on its own. Labels that are wrong even where a share leaves no doubt don't bend the curves. The
@@ -19,7 +20,6 @@ over the paragraphs of all documents, and calibrated on labelled documents that
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -31,14 +31,17 @@ from pyspark.sql import functions as F
 
 from quirework.llm import leakage
 from quirework.llm.prose import paragraphs
-from quirework.session import cut_lineage, ensure_checkpoint_dir
+from quirework.session import cut_lineage, written
 
 BUCKETS = 1 << 17
 #: Labelled documents that train the model, at most; chosen by a hash of their key.
 TRAIN_DOCS = 40_000
 #: One labelled document in so many is held out for calibration.
 HOLD_OUT = 5
-EM_ROUNDS = 1
+#: Rise of the likelihood, as a share of it, below which expectation-maximization has converged.
+EM_TOLERANCE = 0.02
+#: More subjects than this are refused: a model is BUCKETS times the subjects numbers, on the driver and in every task.
+MAX_SUBJECTS = 200
 MIXTURE_ROUNDS = 12
 #: Words that the corpus's own distribution is worth in every complement.
 SMOOTHING = 2000.0
@@ -55,33 +58,31 @@ _SCALES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 FEATURES = "doc_id bigint, words array<int>, ends array<int>"
 
 
-def _without_leaks(texts: list[str | None], units: list[leakage.Units]) -> list[list[list[str]]]:
-    """Words of every paragraph of running text, without what is pasted from test items."""
-    pages = [[leakage.words_of(p) for p in paragraphs(t)] if t else [] for t in texts]
-    for block in units:
-        leaked: dict[int, list[int]] = {}
-        for doc, unit, run, _ in leakage.scan((list(chain.from_iterable(page)) for page in pages), block):
-            if run >= leakage.RUN_WORDS:
-                leaked.setdefault(doc, []).append(unit)
-        for doc, found in leaked.items():
-            kept = []
-            for words in pages[doc]:
-                ids = [block.vocabulary.get(w, 0) for w in words]
-                pasted = np.zeros(len(words), bool)
-                if np.count_nonzero(ids) < leakage.SEED_WORDS:
-                    kept.append(words)
-                    continue
-                for unit in found:
-                    for i, _, n in leakage.tiles(ids, block.ids[unit].tolist(), leakage.SEED_WORDS - 1):
-                        pasted[i : i + n] = True
-                if pasted.any():
-                    # What lies between two pasted stretches close to each other is pasted too, with changes.
-                    at = np.flatnonzero(pasted)
-                    for a, b in zip(at[:-1], at[1:]):
-                        if b - a <= 4:
-                            pasted[a:b] = True
-                kept.append([w for w, x in zip(words, pasted) if not x])
-            pages[doc] = kept
+def _without_leaks(pages: list[list[list[str]]], block: leakage.Units) -> list[list[list[str]]]:
+    """Words of every paragraph, without what is pasted from units of test items."""
+    leaked: dict[int, list[int]] = {}
+    for doc, unit, run, stretch, _ in leakage.scan((list(chain.from_iterable(page)) for page in pages), block):
+        if max(run, stretch) >= leakage.RUN_WORDS:
+            leaked.setdefault(doc, []).append(unit)
+    for doc, found in leaked.items():
+        kept = []
+        for words in pages[doc]:
+            ids = [block.vocabulary.get(w, 0) for w in words]
+            pasted = np.zeros(len(words), bool)
+            if np.count_nonzero(ids) < leakage.SEED_WORDS:
+                kept.append(words)
+                continue
+            for unit in found:
+                for i, _, n in leakage.tiles(np.array(ids), block.ids[unit], leakage.SEED_WORDS - 1):
+                    pasted[i : i + n] = True
+            if pasted.any():
+                # What lies between two pasted stretches close to each other is pasted too, with changes.
+                at = np.flatnonzero(pasted)
+                for a, b in zip(at[:-1], at[1:]):
+                    if b - a <= 4:
+                        pasted[a:b] = True
+            kept.append([w for w, x in zip(words, pasted) if not x])
+        pages[doc] = kept
     return pages
 
 
@@ -93,17 +94,36 @@ class _Buckets(dict):
         return found
 
 
+def _paragraph_words(text: str | None) -> list[list[str]]:
+    return [leakage.words_of(p) for p in paragraphs(text)] if text else []
+
+
 def features(documents: DataFrame, items: DataFrame | None) -> DataFrame:
-    """Word buckets of every document's running text by paragraph: doc_id, words, ends. Texts without any have no row."""
-    spark = documents.sparkSession
-    blocks = list(leakage.unit_blocks(items, ("passage", "question", "instruction"))) if items is not None else []
-    shared = spark.sparkContext.broadcast(blocks)  # test material; see leakage.BLOCK_CHARS
+    """Word buckets of every document's running text by paragraph: doc_id, words, ends. Texts without any have no row.
+
+    Test material that is small enough is sent to the workers; else documents are joined with what they give away.
+    """
+    texts = documents.select("doc_id", "text").where(F.length(F.trim("text")) > 0)
+    shared = None
+    if items is not None:
+        units, _, few = leakage.material(items, ("passage", "question", "instruction"))
+        if few:
+            shared = documents.sparkSession.sparkContext.broadcast(leakage.sent(units))  # at most leakage.BLOCK_CHARS characters
+        else:
+            leaked = leakage.leaked_units(texts, units, few).select("doc_id", "unit_id").distinct()
+            own = leaked.join(units, "unit_id").groupBy("doc_id").agg(F.collect_list("unit").alias("pasted"))  # what one document gives away
+            texts = texts.join(own, "doc_id", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buckets = _Buckets()
         for part in batches:
             rows = []
-            for doc, page in zip(part["doc_id"].tolist(), _without_leaks(part["text"].tolist(), shared.value)):
+            pages = list(map(_paragraph_words, part["text"].tolist()))
+            if shared is not None:
+                pages = _without_leaks(pages, shared.value)
+            elif "pasted" in part:
+                pages = [page if own is None else _without_leaks([page], leakage.Units(list(own), list(own)))[0] for page, own in zip(pages, part["pasted"])]
+            for doc, page in zip(part["doc_id"].tolist(), pages):
                 words, ends = [], []
                 for paragraph in page:
                     words += map(buckets.__getitem__, paragraph)
@@ -115,22 +135,17 @@ def features(documents: DataFrame, items: DataFrame | None) -> DataFrame:
                 buckets.clear()
             yield pd.DataFrame(rows, columns=["doc_id", "words", "ends"])
 
-    made = documents.select("doc_id", "text").where(F.length(F.trim("text")) > 0).mapInPandas(run, FEATURES)
-    return _written(made)
-
-
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` written to and read from the shared folder."""
-    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quirework-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return written(texts.mapInPandas(run, FEATURES), "features")
 
 
 def clean_labels(labels: DataFrame, subjects: DataFrame) -> DataFrame:
-    """Subjects of each labelled document: doc_id, named (array); spellings are unified, unknown names dropped."""
+    """Subjects of each labelled document: doc_id, named (array); spellings are unified, unknown names dropped.
+
+    The list of subjects is small; :func:`train` refuses more than MAX_SUBJECTS.
+    """
     known = subjects.select(F.lower(F.trim("subject")).alias("subject")).distinct()
     bare = labels.select("doc_id", F.lower(F.trim("subject")).alias("subject")).where("subject is not null and doc_id is not null")
-    return bare.join(F.broadcast(known.limit(10_000)), "subject", "left_semi").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("named"))
+    return bare.join(F.broadcast(known), "subject", "left_semi").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("named"))
 
 
 class Model:
@@ -188,26 +203,37 @@ def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Batc
             yield piece, Batch(piece)
 
 
-def _count(rows: DataFrame, run, n_subjects: int) -> np.ndarray:
-    """Sum of the sparse counts that ``run`` yields: at most BUCKETS times n_subjects numbers reach the driver."""
+def _count(rows: DataFrame, run, n_subjects: int) -> tuple[np.ndarray, float]:
+    """Sums of the sparse counts and of the likelihoods that ``run`` yields.
+
+    At most BUCKETS times n_subjects numbers reach the driver.
+    """
     summed = rows.mapInPandas(run, "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cell, n = summed["cell"].to_numpy(np.int64), summed["n"].to_numpy()
     out = np.zeros(BUCKETS * n_subjects)
-    out[summed["cell"].to_numpy(np.int64)] = summed["n"].to_numpy()
-    return out.reshape(BUCKETS, n_subjects)
+    out[cell[cell >= 0]] = n[cell >= 0]
+    return out.reshape(BUCKETS, n_subjects), float(n[cell < 0].sum())
 
 
-def _cells(acc: np.ndarray) -> pd.DataFrame:
+def _cells(acc: np.ndarray, likelihood: float = 0.0) -> pd.DataFrame:
+    """Counts by cell; the cell -1 holds the logarithm of the likelihood."""
     flat = acc.ravel()
     at = np.flatnonzero(flat > 1e-4)
-    return pd.DataFrame({"cell": at.astype(np.int32), "n": flat[at]})
+    return pd.DataFrame({"cell": np.append(at, -1).astype(np.int32), "n": np.append(flat[at], likelihood)})
 
 
 def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
-    """Model from labels, refined over all documents of ``feats`` and calibrated. Raises ValueError without subjects."""
+    """Model from labels, refined over all documents of ``feats`` and calibrated.
+
+    Raises ValueError without subjects, and if there are more than MAX_SUBJECTS.
+    """
     spark = feats.sparkSession
-    names = sorted({str(r["subject"]).strip().lower() for r in subjects.select("subject").where("subject is not null").distinct().limit(10_000).collect()})
+    listed = subjects.select(F.lower(F.trim("subject")).alias("subject")).where("subject <> ''").distinct()
+    names = sorted(r["subject"] for r in listed.limit(MAX_SUBJECTS + 1).collect())
     if not names:
         raise ValueError("there are no subjects")
+    if len(names) > MAX_SUBJECTS:
+        raise ValueError(f"there are more than {MAX_SUBJECTS} subjects")
     index = {s: k for k, s in enumerate(names)}
     known = clean_labels(labels, subjects)
     n_labelled = known.count()
@@ -222,21 +248,26 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
                 np.add.at(acc, (words, index[named[0]]), 1)
         yield _cells(acc)
 
-    base = _count(labelled.where("not held and size(named) = 1"), of_labels, len(names))
+    base, _ = _count(labelled.where("not held and size(named) = 1"), of_labels, len(names))
     model = Model(names, base)
     model.scale = _fit_scale(labelled.where("held and size(named) = 1"), model, index)
-    for _ in range(EM_ROUNDS):
+    before = -np.inf
+    while True:
         shared = spark.sparkContext.broadcast(model)  # BUCKETS x subjects numbers
 
         def expected(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             known_model = shared.value
-            acc = np.zeros((BUCKETS, len(known_model.subjects)))
+            acc, total = np.zeros((BUCKETS, len(known_model.subjects))), 0.0
             for _, batch in _batches(batches):
-                acc += expected_counts(batch, known_model.judge(batch)[1])
-            yield _cells(acc)
-
-        counts = _count(feats.select("words", "ends"), expected, len(names))
-        scale = model.scale
+                scores, post, theta = known_model.judge(batch)
+                acc += expected_counts(batch, post)
+                total += likelihood(scores / known_model.scale, theta[batch.owner])
+            yield _cells(acc, total)
+
+        counts, now = _count(feats.select("words", "ends"), expected, len(names))
+        if now <= before + EM_TOLERANCE * abs(before):
+            break
+        before, scale = now, model.scale
         model = Model(names, base + counts)
         model.scale = scale
     model.scale = _fit_scale(labelled.where("held and size(named) = 1"), model, index)
@@ -249,6 +280,12 @@ def expected_counts(batch: Batch, post: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(batch.words, np.repeat(own, batch.size), minlength=BUCKETS) for own in post.T], axis=1)
 
 
+def likelihood(like: np.ndarray, prior: np.ndarray) -> float:
+    """Logarithm of the likelihood of paragraphs with these scores, mixed as ``prior`` says."""
+    top = like.max(axis=1, keepdims=True)
+    return float((top[:, 0] + np.log((prior * np.exp(like - top)).sum(axis=1))).sum())
+
+
 def _fit_scale(held: DataFrame, model: Model, index: dict[str, int]) -> float:
     """The scale of scores under which the held-out labels are likeliest."""
     shared = held.sparkSession.sparkContext.broadcast(model)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,7 +55,7 @@ UNIT = "the crooked watchman traded that frozen thimble beneath seven ragged rib
 
 def leaks(text, unit=UNIT):
     units = lk.Units([unit], [[1]])
-    return [run for _, _, run, _ in lk.scan([lk.words_of(text)], units) if run >= lk.RUN_WORDS]
+    return [run for _, _, run, *_ in lk.scan([lk.words_of(text)], units) if run >= lk.RUN_WORDS]
 
 
 def test_what_counts():
@@ -73,17 +74,58 @@ def test_what_counts():
     assert not leaks(" ".join(words[12:]) + " and then " + " ".join(words[:12]))  # each part is too short
 
 
-def test_reordered_passages_show(spark):
+def test_longest_stretch_against_every_pair():
+    rng = random.Random(3)
+    for _ in range(500):
+        covered = np.array([rng.random() < 0.8 for _ in range(rng.randint(0, 30))], bool)
+        best = 0
+        for a in range(len(covered)):
+            for b in range(a, len(covered)):
+                if covered[a] and covered[b] and (~covered[a : b + 1]).sum() * 8 <= b - a + 1:
+                    best = max(best, b - a + 1)
+        assert lk.longest_stretch(covered) == best
+
+
+@pytest.mark.parametrize("size", [5, 8, 10, 14])
+def test_reordered_passages_leak(spark, size):
+    """Passages in pieces, reversed and shuffled, beside texts of the same words in no order; by both ways."""
+    rng = random.Random(size)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=60)), " ".join(rng.choices(vocabulary, k=4))) for k in range(20)]
+    docs, truth = [], set()
+    for d in range(100):
+        item = d % 20
+        words = items[item][1].split()
+        pieces = [words[k : k + size] for k in range(0, 60 // size * size, size)]
+        if d % 5 == 0:
+            pieces = pieces[::-1]
+        elif d % 5 == 1:
+            rng.shuffle(pieces)
+        elif d % 5 == 2:
+            pieces = [[w] for w in rng.sample(words, 60)]
+        else:
+            pieces = [rng.choices(vocabulary, k=60)]
+        if d % 5 < 2:
+            truth.add((d, item))
+        docs.append((d, " ".join([*rng.choices(vocabulary, k=20), *(w for p in pieces for w in p), *rng.choices(vocabulary, k=20)])))
+    df, table = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, passage string, question string")
+    found = lk.leaks(df, table)
+    got = {(r["doc_id"], r["item_id"]): (r["run_words"], r["stretch_words"], r["coverage"]) for r in found.collect()}
+    assert set(got) == truth and all(stretch >= lk.RUN_WORDS for _, stretch, _ in got.values())
+    units, _, few = lk.material(table)
+    assert few and sorted(map(tuple, lk.leaked_units(df, units, False).collect())) == sorted(map(tuple, lk.leaked_units(df, units, True).collect()))
+
+
+def test_short_items_unspaced_scripts_and_pieces(spark):
+    chinese = "山上的老人每天清晨都会走到河边去看那些慢慢飘过的旧木船"
     words = [f"w{k}" for k in range(80)]
-    pieces = [words[k : k + 10] for k in range(0, 80, 10)]
-    order = [3, 0, 6, 1, 7, 4, 2, 5]
-    shuffled = " ".join(" ".join(pieces[k]) + " and" for k in order)
-    third = " ".join(" ".join(pieces[k]) + " and" for k in order[:3])
-    items = spark.createDataFrame([(1, " ".join(words), "w70 w71 w72 w73 w74 w75")], "item_id bigint, passage string, question string")
-    docs = spark.createDataFrame([(1, "x " + shuffled), (2, " ".join(words)), (3, third)], "doc_id bigint, text string")
-    got = {r["doc_id"]: (r["run_words"], r["coverage"]) for r in lk.leaks(docs, items).collect()}
-    assert set(got) == {1, 2}  # a third in pieces is too little, and so is a short question
-    assert got[1][0] < lk.RUN_WORDS and got[1][1] == 1.0 and got[2] == (80, 1.0)
+    some = " ".join(" and ".join(" ".join(words[k : k + 6]) for k in (60, 0, 36, 18, 48, 10, 27)).split())
+    items = spark.createDataFrame([(1, UNIT, "who traded that frozen thimble beneath seven ragged ribbons by lamplight last"), (2, chinese, None), (3, " ".join(words), "w70 w71 w72 w73")], "item_id bigint, passage string, question string")
+    docs = [(1, "x who traded that frozen thimble beneath seven ragged ribbons by lamplight last y"), (2, "他说。" + chinese + "。然后"), (3, some), (4, " ".join(words[:24])), (5, "w70 w71 w72 w73"), (6, chinese[:12])]
+    got = {(r["doc_id"], r["item_id"]): r for r in lk.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}  # too few words: 5 and 6
+    assert got[(1, 1)]["coverage"] == 1.0 and got[(1, 1)]["run_words"] < lk.RUN_WORDS and got[(2, 2)]["run_words"] == len(chinese)
+    assert got[(3, 3)]["stretch_words"] < lk.RUN_WORDS and got[(3, 3)]["coverage"] > 0.5 and got[(4, 3)]["run_words"] == 24
 
 
 def test_random_copies(spark):
@@ -115,9 +157,9 @@ def test_random_copies(spark):
     got = {(r["doc_id"], r["item_id"]) for r in lk.leaks(df, table).collect()}
     assert truth <= got and len(got - truth) <= 3
     old = lk.BLOCK_CHARS
-    lk.BLOCK_CHARS = 1500
+    lk.BLOCK_CHARS = 1500  # the material is too large to be sent out
     try:
-        assert len(list(lk.unit_blocks(table))) > 3
+        assert not lk.material(table)[2]
         assert {(r["doc_id"], r["item_id"]) for r in lk.leaks(df, table).collect()} == got
     finally:
         lk.BLOCK_CHARS = old

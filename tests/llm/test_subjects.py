@@ -120,4 +120,18 @@ def test_every_paragraph_counts_for_every_subject(tables, monkeypatch):
     monkeypatch.setattr(sj, "_count", lambda *args: made.append(count(*args)) or made[-1])
     sj.train(feats, labels, areas)
     n_words = sum(len(r["words"]) for r in feats.collect())
-    assert made[1].sum() == pytest.approx(n_words, rel=1e-3)  # undecided and mixed paragraphs too
+    assert made[1][0].sum() == pytest.approx(n_words, rel=1e-3)  # undecided and mixed paragraphs too
+    rounds = [likely for _, likely in made[1:]]
+    assert len(rounds) >= 2 and rounds[-1] <= rounds[-2] + sj.EM_TOLERANCE * abs(rounds[-2])  # until it hardly rises
+    assert all(b > a + sj.EM_TOLERANCE * abs(a) for a, b in zip(rounds[:-2], rounds[1:-1]))
+
+
+def test_more_test_material_than_is_sent_and_too_many_subjects(spark, tables, monkeypatch):
+    docs, labels, _, items, _ = tables
+    some = docs.where("doc_id in (1, 2, 905)")
+    sent = {r["doc_id"]: (r["words"], r["ends"]) for r in sj.features(some, items).collect()}
+    monkeypatch.setattr(sj.leakage, "BLOCK_CHARS", 10)
+    assert {r["doc_id"]: (r["words"], r["ends"]) for r in sj.features(some, items).collect()} == sent
+    many = spark.createDataFrame([(f"s{k}",) for k in range(sj.MAX_SUBJECTS + 1)], "subject string")
+    with pytest.raises(ValueError, match="more than"):
+        sj.document_subjects(some, labels, many, items)
