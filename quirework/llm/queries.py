@@ -20,16 +20,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_host_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shrunk failure rate of every host."""
+    """Failures of every rule at every host and their shrunk rates."""
     found = repetition.document_repetition(read_table(spark, sf_dir, "page_artifacts"), read_table(spark, sf_dir, "generation_results"))
     rates = repetition.host_rates(found)
-    return rates.withColumns({c: F.round(c, 6) for c in ("raw_rate", "host_rate", "prior_rate")})
+    return rates.withColumns({c: F.round(c, 6) for c in rates.columns if c.startswith(("raw_", "rate_", "prior_"))})
 
 
 def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of repetition of every value, by words and by characters."""
+    """Shares of repetition of every value by every rule, and whether its host changes the verdict."""
     found = repetition.document_repetition(read_table(spark, sf_dir, "page_artifacts"), read_table(spark, sf_dir, "generation_results"))
-    return found.select("field", "record_key", F.round("word_share", 6).alias("word_share"), F.round("char_share", 6).alias("char_share"), "repetitive").distinct()
+    shares = [F.round(c, 6).alias(c) for c in ("word_share", "char_share", "loop_share", "line_share", "block_share", "phrase_share", "probability")]
+    return found.select("field", "record_key", *shares, "repetitive", (F.col("repetitive") != F.col("failed")).alias("by_host")).distinct()
 
 
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
