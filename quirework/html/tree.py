@@ -7,6 +7,7 @@ closed there. End tags are implied by the element that follows where HTML says s
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 
@@ -32,8 +33,10 @@ IMPLIED: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "tfoot": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "p")), frozenset(("table",))),
     "option": (frozenset(("option",)), frozenset(("select",))),
 }
-#: Elements nested more deeply than this stand beside each other.
-MAX_DEPTH = 120
+#: Elements nested more deeply than this stand beside each other; their end tags end nothing else, and no text is lost.
+MAX_DEPTH = 1000
+#: Walks that go down a tree by calls need a few of them for every level.
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 12 * MAX_DEPTH))
 #: Elements an end tag can't reach out of.
 _SCOPE = frozenset(("table", "td", "th", "caption"))
 
@@ -93,6 +96,7 @@ def parse(html: str, implied: bool = True) -> Node:
     """Tree of ``html`` under a nameless root. Comments and declarations are kept as ``!`` elements."""
     root = Node("")
     top = root
+    beyond: list[str] = []  # open elements below MAX_DEPTH
     at, size = 0, len(html)
     while at < size:
         m = _TOKEN.search(html, at)
@@ -108,6 +112,11 @@ def parse(html: str, implied: bool = True) -> Node:
             continue
         name = name.lower()
         if m[1]:
+            if name in beyond:
+                while beyond.pop() != name:
+                    pass
+                continue
+            beyond.clear()
             node: Node | None = top
             while node is not None and node.tag != name:
                 node = None if node.tag in _SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot") else node.parent
@@ -137,6 +146,8 @@ def parse(html: str, implied: bool = True) -> Node:
             continue
         if child.depth < MAX_DEPTH:
             top = child
+        else:
+            beyond.append(name)
     if at < size:
         text = html[at:]
         top.children.append(unescape(text) if "&" in text else text)
