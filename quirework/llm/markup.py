@@ -5,8 +5,11 @@ visible text is emitted, blocks are set apart by blank lines, lists keep their b
 cells are aligned in columns, code blocks are fenced and formulas keep their delimiters. Markdown is split into its own
 constructs, code and formulas are kept as they stand, tables and foreign HTML go through the same renderer.
 
-While a value is rendered, everything that isn't the field's own notation is reported by kind: tags, attributes,
+Elements that are hidden (by the ``hidden`` attribute, ``display:none`` or ``visibility:hidden``) are no visible text.
+
+The renderer reports, while it renders, everything that isn't the field's own notation by kind: tags, attributes,
 comments, character references that are still references after one decoding, wiki, LaTeX, BBCode and markdown signs.
+Every value is rendered for that; signs that open and close are paired by one scan, however far they are apart.
 """
 
 from __future__ import annotations
@@ -40,29 +43,88 @@ _LITERAL_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*(?::[a-zA-Z]+)?)((?:\s[^<>]*
 
 #: Signs of other notations in plain text, each with the kind it is reported as.
 _SIGNS: tuple[tuple[str, re.Pattern[str]], ...] = (
-    ("wiki", re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|(?<![\w'])'{2,5}(?=[^\s'])[^\n]{0,400}?[^\s']'{2,5}(?![\w'])|^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$|^\{\|[^\n]*$|^\|[}-][^\n|]*$", re.M)),
+    ("wiki", re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$|^\{\|[^\n]*$|^\|[}-][^\n|]*$", re.M)),
     ("latex", re.compile(r"(?<![\w\\:])\\(?:begin|end|[a-zA-Z]+\*?)[ \t]*(?:\[[^\]\n]*\])?\{|(?<![\w\\:/])\\(?:[a-zA-Z]{3,}|[a-z]{2})(?![\w\\/])")),
-    ("bbcode", re.compile(r"\[(b|i|u|s|url|img|quote|code|list|size|color|center|font|spoiler|sub|sup)(?:=[^\]\n]{0,200})?\].{0,5000}?\[/\1\]", re.I | re.S)),
     ("directive", re.compile(r"^\.\. [a-z-]+::|^#\+[A-Za-z_]+:|^h[1-6]\. \S|:[a-z]+:`[^`\n]+`", re.M)),
 )
+_BBCODE = re.compile(r"\[(/?)(b|i|u|s|url|img|quote|code|list|size|color|center|font|spoiler|sub|sup)(?:=[^\]\n]*)?\]", re.I)
 #: Markdown signs; foreign in HTML, and in markdown where they are escaped.
-_EMPHASIS = re.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])[^*\n]{1,400}?(?<=[^\s*])\1(?![\w*])|(?<![\w_])_{2,3}(?=[^\s_])[^\n]{1,400}?(?<=[^\s_])_{2,3}(?![\w_])")
 _MARKDOWN_SIGNS = re.compile(
     r"(?<!~)~~(?=\S)[^~\n]+~~(?!~)|!?\[[^\[\]\n]*\]\((?:https?:|#|/|[\w./-]+\.\w{2,5})[^()\s]*\)|(?<!`)`[^`\n]+`(?!`)|^```|^[ \t]*#{1,6} \S|^[ \t]*>[ \t]+\S|^[ \t]*[*+] \S"
     r"|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|[ \t:|-]*$|\[\^[\w-]+\]|^[^\n]+\n[=]{3,}[ \t]*$", re.M
 )
-_TEX_DELIMITERS = re.compile(r"\\\[.{1,5000}?\\\]|\\\(.{1,2000}?\\\)|\$\$[^$]{1,5000}\$\$|(?<![\w$])\$(?=\S)[^$\n]{0,80}?(?:\\[a-zA-Z]|[\^_]\{?)[^$\n]{0,80}?(?<=\S)\$(?![\w$])", re.S)
-_ESCAPED_SIGNS = re.compile(
-    r"(?<![\w\\])(?:\\\*){1,3}(?=[^\s\\*])[^\n]{1,200}?(?<=[^\s\\*])(?:\\\*){1,3}(?![\w])|(?<![\w\\])(?:\\_){2,3}(?=[^\s\\_])[^\n]{1,200}?(?<=[^\s\\_])(?:\\_){2,3}(?!\w)"
-    r"|\\~\\~[^\n]{1,400}?\\~\\~|\\`[^`\n]+\\`|^\\#{1,6} \S|\\\[[^\[\]\n]*\\\]\\?\([^()\s]*\\?\)", re.M
+_FORMULA_SIGNS = re.compile(r"\\[a-zA-Z]|[\^_]")
+_ESCAPED_SIGNS = re.compile(r"\\`[^`\n]+\\`|^\\#{1,6} \S|\\\[[^\[\]\n]*\\\]\\?\([^()\s]*\\?\)", re.M)
+
+
+class _Pair:
+    """Signs of which one opens and one closes: found by one scan, without a bound on what stands between them.
+
+    A line end between them parts them if ``line`` is set. The closing sign must be the same as the opening one.
+    """
+
+    def __init__(self, opening: str, closing: str, line: bool = True) -> None:
+        self.opening, self.closing = re.compile(opening), re.compile(closing)
+        self.parts = re.compile("\n") if line else None
+
+    def spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """(beginning, end) of what stands between the signs, the signs left out."""
+        events = [(m.start(), 1, m) for m in self.opening.finditer(text)]
+        if not events:
+            return
+        events += [(m.start(), 0, m) for m in self.closing.finditer(text)]
+        if self.parts is not None:
+            events += [(m.start(), 2, m) for m in self.parts.finditer(text)]
+        events.sort(key=lambda e: (e[0], e[1]))
+        opened: dict[str, int] = {}
+        for at, kind, m in events:
+            if kind == 2:
+                opened.clear()
+            elif kind == 0 and m[0] in opened and at > opened[m[0]]:
+                yield opened.pop(m[0]), at
+            elif kind == 1:
+                opened.setdefault(m[0], m.end())
+
+    def found(self, text: str) -> bool:
+        return next(self.spans(text), None) is not None
+
+
+_WIKI_EMPHASIS = _Pair(r"(?<![\w'])'{2,5}(?=[^\s'])", r"(?<=[^\s'])'{2,5}(?![\w'])")
+_STARS = _Pair(r"(?<![\w*])\*{1,3}(?=[^\s*])", r"(?<=[^\s*])\*{1,3}(?![\w*])")
+_LINES = _Pair(r"(?<![\w_])_{2,3}(?=[^\s_])", r"(?<=[^\s_])_{2,3}(?![\w_])")
+_BOLD_LINES = _Pair(r"(?<![\w_\\])__(?=[^\s_])", r"(?<=[^\s_\\])__(?![\w_])")
+_DISPLAY = _Pair(r"\$\$", r"\$\$", False)
+_DOLLARS = _Pair(r"(?<![\w$])\$(?=[^\s$])", r"(?<=[^\s$])\$(?![\w$])")
+_ESCAPED_PAIRS = (
+    _Pair(r"(?<![\w\\])(?:\\\*){1,3}(?=[^\s\\*])", r"(?<=[^\s\\*])(?:\\\*){1,3}(?!\w)"), _Pair(r"(?<![\w\\])(?:\\_){2,3}(?=[^\s\\_])", r"(?<=[^\s\\_])(?:\\_){2,3}(?!\w)"),
+    _Pair(r"\\~\\~", r"\\~\\~"),
 )
-#: What a value must contain at least one of for any of the above to be possible.
-_SUSPICIOUS_HTML = re.compile(r"[\\`~{}]|\*\S|__|==|''|\[[\[/^]|\]\(|\$\$|&amp;|&(?!amp;|lt;|gt;|quot;)|&lt;[/!a-zA-Z]|#[# +]|^[ \t]*[>|+*#.h]|<[!?]|(?:&gt;|\$\S)", re.M)
+
+
+def _between(text: str, opening: str, closing: str) -> bool:
+    """Whether one sign stands before the other, with something between them."""
+    at = text.find(opening)
+    return at >= 0 and text.find(closing, at + len(opening) + 1) >= 0
+
+
+def _bbcode(text: str) -> bool:
+    """Whether a tag in brackets is opened and closed."""
+    opened = set()
+    for m in _BBCODE.finditer(text):
+        if not m[1]:
+            opened.add(m[2].lower())
+        elif m[2].lower() in opened:
+            return True
+    return False
 
 
 def signs(text: str, html: bool) -> set[str]:
     """Kinds of foreign notation in plain text (no code, no formulas)."""
     kinds = {kind for kind, pattern in _SIGNS if pattern.search(text)}
+    if "''" in text and _WIKI_EMPHASIS.found(text):
+        kinds.add("wiki")
+    if "[/" in text and _bbcode(text):
+        kinds.add("bbcode")
     if "&" in text and _REFERENCE.search(text):
         kinds.add("reference")
     if "<" in text:
@@ -72,18 +134,28 @@ def signs(text: str, html: bool) -> set[str]:
                 kinds.add("literal tag")
                 break
     if html:
-        if "*" in text or "__" in text:
-            if _EMPHASIS.search(text):
-                kinds.add("markdown")
-        if _MARKDOWN_SIGNS.search(text):
+        if ("*" in text and _STARS.found(text)) or ("__" in text and _LINES.found(text)) or _MARKDOWN_SIGNS.search(text):
             kinds.add("markdown")
-        if ("\\" in text or "$" in text) and _TEX_DELIMITERS.search(text):
+        if "\\" in text and (_between(text, "\\[", "\\]") or _between(text, "\\(", "\\)")):
+            kinds.add("latex")
+        if "$" in text and (_DISPLAY.found(text) or any(_FORMULA_SIGNS.search(text, a, b) for a, b in _DOLLARS.spans(text))):
             kinds.add("latex")
-    elif "\\" in text and _ESCAPED_SIGNS.search(text):
+    elif "\\" in text and (_ESCAPED_SIGNS.search(text) or any(p.found(text) for p in _ESCAPED_PAIRS)):
         kinds.add("markdown")
     return kinds
 
 
+def hidden(node: Node) -> bool:
+    """Whether an element isn't shown."""
+    if node.tag in _HIDDEN or "hidden" in node.attrs:
+        return True
+    style = node.attrs.get("style", "")
+    if not style:
+        return False
+    rules = dict((name.strip(), value.replace("!important", "").strip()) for name, _, value in (part.partition(":") for part in style.lower().split(";")))
+    return rules.get("display") == "none" or rules.get("visibility") in ("hidden", "collapse")
+
+
 class _Renderer:
     """Text of a tree with block spacing, lists, aligned tables, fenced code and formulas."""
 
@@ -121,7 +193,7 @@ class _Renderer:
                 continue
             self.inspect(child)
             tag = child.tag
-            if tag in _HIDDEN or "display:none" in child.attrs.get("style", "").replace(" ", "").lower():
+            if hidden(child):
                 continue
             if tag == "br":
                 self.plain.append("\n")
@@ -179,7 +251,7 @@ class _Renderer:
                     lines.append(" ".join(child.split()))
                 continue
             self.inspect(child)
-            if child.tag in _HIDDEN:
+            if hidden(child):
                 continue
             self.plain.append("\n")
             text = self.expand(_tidy(self.inline(child))).replace("\n\n", "\n") if child.tag not in ("ul", "ol") else self.list(child, child.tag == "ol")
@@ -191,7 +263,9 @@ class _Renderer:
         return "\n".join(lines)
 
     def table(self, node: Node) -> str:
-        caption, rows = "", []
+        caption: str = ""
+        rows: list[dict[int, str]] = []
+        taken: dict[int, int] = {}  # column -> rows that a cell from above still takes up
         for child in node.elements():
             if child.tag == "caption":
                 self.inspect(child)
@@ -199,25 +273,46 @@ class _Renderer:
                 caption = " ".join(self.expand(self.inline(child)).split())
             elif child.tag == "tr":
                 self.inspect(child)
-                cells: list[str] = []
+                if hidden(child):
+                    continue
+                cells: dict[int, str] = {}
+                column, below = 0, {c: n - 1 for c, n in taken.items() if n > 1}
                 for cell in child.children:
                     if isinstance(cell, str):
                         self.plain.append(cell)
                         continue
                     self.inspect(cell)
+                    if hidden(cell):
+                        continue
                     self.plain.append("\n")
+                    while taken.get(column):
+                        column += 1
                     text = " ".join(self.expand(self.inline(cell)).split())
-                    span = cell.attrs.get("colspan", "1")
-                    cells.append(text)
-                    cells.extend([""] * (min(int(span), 1000) - 1 if span.isdigit() and int(span) > 1 else 0))
+                    wide, deep = _span(cell, "colspan"), _span(cell, "rowspan")
+                    cells[column] = text
+                    if deep > 1 and wide <= _WIDE:
+                        below.update({column + k: deep - 1 for k in range(wide)})
+                    column += wide
+                taken = below
                 rows.append(cells)
             elif child.tag in ("thead", "tbody", "tfoot") or child.tag not in ("td", "th", "tr", "caption") and child.parent is node:
                 self.inspect(child)
-        width = [max((len(r[i]) for r in rows if i < len(r)), default=0) for i in range(max(map(len, rows), default=0))]
-        lines = ["  ".join(c.ljust(width[i]) for i, c in enumerate(r)).rstrip() for r in rows]
+        # Columns in which no cell begins, as under wide cells only, take no room.
+        used = sorted({c for r in rows for c in r})
+        width = {c: max(len(r[c]) for r in rows if c in r) for c in used}
+        lines = ["  ".join(r.get(c, "").ljust(width[c]) for c in used).rstrip() for r in rows]
         return "\n".join([caption] * bool(caption) + lines)
 
 
+#: Cells that take up more columns than this don't reach into the rows below.
+_WIDE = 10_000
+
+
+def _span(cell: Node, name: str) -> int:
+    value = cell.attrs.get(name, "1").strip()
+    return max(1, int(value)) if value.isascii() and value.isdigit() and len(value) < 10 else 1
+
+
 _KEPT = re.compile("\x00(\\d+)\x00")
 
 
@@ -280,13 +375,13 @@ def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
     bare = re.sub(r"\x00\d+\x00", " ", text)
     found = signs(re.sub(r"(?<!\\)\*{1,3}(?=\S)([^*\n]+?)(?<!\\)\*{1,3}", r"\1", bare), False)
     kinds |= found
-    if re.search(r"(?<![\w_\\])__(?=[^\s_])[^\n]{1,400}?(?<=[^\s_\\])__(?![\w_])", bare):
+    if "__" in bare and _BOLD_LINES.found(bare):
         kinds.add("markdown")
     if "literal tag" in found or "reference" in found:
         # Foreign HTML in the text: rendered by the same tree, paragraph by paragraph.
         text = "\n".join(_rendered_line(x) if "<" in x or "&" in x else x for x in text.split("\n"))
     text = re.sub(r"(?<![\\*])\*{1,3}(?=\S)([^*\n]+?)(?<!\\)\*{1,3}|~~([^~\n]+)~~", r"\1\2", text)
-    text = re.sub(r"'{2,5}([^\n]{1,400}?)'{2,5}|\[\[(?:[^\[\]|\n]*\|)*([^\[\]|\n]+)\]\]|\{\{(?:[^{}|\n]*\|)*([^{}|\n]+)\}\}", r"\1\2\3", text) if "wiki" in found else text
+    text = re.sub(r"'{2,5}([^\n']+)'{2,5}|\[\[(?:[^\[\]|\n]*\|)*([^\[\]|\n]+)\]\]|\{\{(?:[^{}|\n]*\|)*([^{}|\n]+)\}\}", r"\1\2\3", text) if "wiki" in found else text
     text = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\{[^{}]*\})?|\\[a-zA-Z]+\*?(?:\[[^\]\n]*\])?\{([^{}\n]*)\}|\\(?:item|\\)", r"\1", text) if "latex" in found else text
     text = re.sub(r"\[/?(?:b|i|u|s|url|img|quote|code|list|size|color|center|font)(?:=[^\]\n]*)?\]", "", text, flags=re.I) if "bbcode" in found else text
     text = _UNESCAPE.sub(r"\1", text)
@@ -295,25 +390,10 @@ def render_markdown(markdown: str | None) -> tuple[str, set[str]]:
 
 
 def foreign_kinds(value: str | None, field: str) -> set[str]:
-    """Kinds of foreign markup. Values that contain none of the characters that any rule needs aren't rendered."""
+    """Kinds of foreign markup that rendering a value of a field reports."""
     if not value:
         return set()
-    if field == "markdown":
-        return render_markdown(value)[1] if re.search(r"[<\\&]|\[[\[/a-zA-Z]|\{[{|]|''|==|__|^\.\.|^#\+|^h[1-6]\.", value, re.M) else set()
-    if _SUSPICIOUS_HTML.search(value) or not _only_own_tags(value):
-        return render_html(value)[1]
-    return set()
-
-
-_ANY_TAG = re.compile(r"</?([a-zA-Z][^\s/<>]*)([^<>]*)>")
-_PLAIN_ATTRIBUTES = re.compile(r"""(?:\s+(?:class|colspan|rowspan|display|checked|type|border|value|style|href|alt|align|data-bbox|data-label)(?:="[^"<>]*")?)*\s*/?""")
-
-
-def _only_own_tags(value: str) -> bool:
-    for name, rest in set(_ANY_TAG.findall(value)):
-        if name.lower() not in _OWN_TAGS or (rest and rest != "/" and not _PLAIN_ATTRIBUTES.fullmatch(rest.replace(' src="', ' alt="') if name == "img" else rest)):
-            return False
-    return True
+    return (render_markdown if field == "markdown" else render_html)(value)[1]
 
 
 SCHEMA_FOUND = "doc_id string, page_num int, field string, kinds array<string>"

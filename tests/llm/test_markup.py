@@ -83,3 +83,35 @@ def test_tables(spark):
     assert [tuple(r) for r in out.collect()] == [("<p>a</p>", 1, "a", []), (None, 2, None, [])]
     with pytest.raises(ValueError):
         mk.clean_text(df, "v", "wiki")
+
+
+def test_visibility():
+    for attr in ("hidden", 'hidden=""', 'style="display:none"', 'style="color: red; DISPLAY : none"', 'style="visibility:hidden"', 'style="visibility: collapse !important"'):
+        assert mk.render_html(f"<p>a</p><p {attr}>secret <b>too</b></p><ul><li>x</li><li {attr}>secret</li></ul>")[0] == "a\n\n- x"
+        assert mk.render_html(f"<table><tr><td>a</td><td {attr}>secret</td><td>b</td></tr><tr {attr}><td>secret</td></tr></table>")[0] == "a  b"
+    assert mk.render_html('<p style="visibility:visible;display:block">seen</p>')[0] == "seen"
+
+
+def test_cells_are_aligned_under_spans():
+    html = '<table><tr><td rowspan="2">A</td><td>B</td></tr><tr><td>C</td></tr><tr><td colspan="2">D</td></tr></table>'
+    assert mk.render_html(html)[0].split("\n") == ["A  B", "   C", "D"]
+    wide = '<table><tr><td colspan="1001">a</td><td>b</td></tr><tr>' + "<td>c</td>" * 1002 + "</tr></table>"
+    first, second = mk.render_html(wide)[0].split("\n")
+    assert second.count("c") == 1002 and first.startswith("a") and first.index("b") == second.rindex("c")
+    assert mk.render_html('<table><tr><td colspan="999999999" rowspan="x">a</td><td>b</td></tr></table>')[0] == "a  b"
+
+
+def test_signs_far_apart():
+    long = "word " * 5000
+    for value in (f"[quote]{long}[/quote]", f"''{long}x''", f"\\*\\*{long}x\\*\\*", f"__{long}x__"):
+        assert mk.foreign_kinds(value, "markdown"), value[:10]
+    for value in (f"<p>**{long}x**</p>", f"<p>\\[{long}\\]</p>", f"<p>$x_1 {long}y$</p>", f"<p>$${long}$$</p>"):
+        assert mk.foreign_kinds(value, "content"), value[:10]
+    assert not mk.foreign_kinds(f"<p>{'** ' * 5000}</p>", "content") and mk.foreign_kinds("[b]" * 20_000, "markdown") == set()
+
+
+def test_deep_nesting():
+    deep = "<div><b>" * 300 + "core" + "</b></div>" * 300 + "<p>after</p>"
+    assert mk.render_html(deep)[0] == "core\n\nafter"
+    far = "<p>" + "<i>" * 5000 + "core" + "</i>" * 5000 + " rest</p><p>after</p>"
+    assert mk.render_html(far)[0] == "core rest\n\nafter"
