@@ -6,7 +6,7 @@ import re
 
 from quirework.html.tree import Node, serialize
 
-_SPACE = re.compile(r"[ \t\r\n\f]+")
+_SPACE = re.compile(r"[ \t]+")
 _STARS = re.compile(r"([*_$])")
 _BRACKETS = re.compile(r"([\[\]()])")
 _VERBATIM = frozenset(("pre", "code", "kbd", "samp", "math"))

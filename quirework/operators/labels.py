@@ -37,14 +37,22 @@ def drawable(blocks: DataFrame) -> DataFrame:
     return blocks.where(has_area(F.col("bbox")))
 
 
-def numbered(blocks: DataFrame) -> DataFrame:
-    """Distinct blocks with the running number of their label on the page, and the caption made of both."""
-    order = Window.partitionBy("doc_id", "page_num", "label").orderBy("block_idx", "content")
-    distinct = blocks.select("doc_id", "page_num", "block_idx", "label", "content").distinct()
+def _label_numbers(blocks: DataFrame) -> DataFrame:
+    """Distinct blocks by the hash of their content, which stands for it, numbered by label on their page."""
+    order = Window.partitionBy("doc_id", "page_num", "label").orderBy("block_idx", "content_md5")
+    distinct = blocks.select("doc_id", "page_num", "block_idx", "label", F.md5("content").alias("content_md5"), *(["bbox"] if "bbox" in blocks.columns else [])).distinct()
     counted = distinct.withColumn("label_no", F.row_number().over(order))
     return counted.withColumn("caption", F.concat(F.col("label"), F.lit(" #"), F.col("label_no").cast("string")))
 
 
+def numbered(blocks: DataFrame) -> DataFrame:
+    """Distinct blocks with the running number of their label on the page, and the caption made of both.
+
+    Columns: doc_id, page_num, block_idx, label, content_md5, label_no, caption.
+    """
+    return _label_numbers(blocks.drop("bbox"))
+
+
 def coloured(blocks: DataFrame) -> DataFrame:
     """Blocks with the colour of their label."""
     table = F.create_map(*[F.lit(x) for pair in COLOURS.items() for x in pair])
@@ -53,7 +61,4 @@ def coloured(blocks: DataFrame) -> DataFrame:
 
 def overlay(blocks: DataFrame) -> DataFrame:
     """What an overlay draws on each page: box, colour and caption of every drawable block."""
-    order = Window.partitionBy("doc_id", "page_num", "label").orderBy("block_idx", "content")
-    distinct = blocks.select("doc_id", "page_num", "block_idx", "label", "content", "bbox").distinct()
-    captioned = distinct.withColumn("caption", F.concat(F.col("label"), F.lit(" #"), F.row_number().over(order).cast("string")))
-    return coloured(drawable(captioned)).select("doc_id", "page_num", "block_idx", "bbox", "color", "caption")
+    return coloured(drawable(_label_numbers(blocks))).select("doc_id", "page_num", "block_idx", "bbox", "color", "caption")

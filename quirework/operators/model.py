@@ -8,6 +8,7 @@ Materialize what :func:`generate` returns before using it twice, since evaluatin
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -32,8 +33,9 @@ _models: dict[object, PageModel] = {}
 
 
 def _worker_model(key: object, factory: Callable[[], PageModel]) -> PageModel:
-    """The model of this worker process, built at its first use."""
+    """The model of this worker process, built at its first use; the one of an earlier run gives way."""
     if key not in _models:
+        _models.clear()
         _models[key] = factory()
     return _models[key]
 
@@ -81,7 +83,7 @@ def generate(pages: DataFrame, factory: Callable[[], PageModel], max_retries: in
     names = pages.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", " + ANSWER_SCHEMA
     failures = max_retries if max_failures is None else max_failures
-    key = repr(factory)
+    key = uuid.uuid4().hex  # names this call, so that no other factory's model is taken for its
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _worker_model(key, factory)

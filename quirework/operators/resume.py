@@ -76,7 +76,13 @@ def unfinished(documents: DataFrame, finished: DataFrame) -> DataFrame:
 
 
 def drop_stale(artifacts: DataFrame, matches: DataFrame) -> DataFrame:
-    """Artifacts but for those of documents whose source has changed since every recorded run."""
+    """Artifacts but for those of sources that have changed.
+
+    Artifacts with a run_no are held against the state of their own run; others stay if any recorded run of the
+    document is of the file as it is now.
+    """
+    if "run_no" in artifacts.columns:
+        return artifacts.join(matches.where("matches").select("doc_id", "run_no").distinct(), ["doc_id", "run_no"], "left_semi")
     current = matches.groupBy("doc_id").agg(F.max("matches").alias("current")).where("current")
     return artifacts.join(current.select("doc_id"), "doc_id", "left_semi")
 

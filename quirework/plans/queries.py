@@ -6,15 +6,16 @@ hold them against brute force or against the tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions import geometry, ranges, serving, text
 from quirework.operators import assemble, labels, model, parse, progress, resume, toc
-from quirework.session import ensure_checkpoint_dir, read_table
+from quirework.session import read_table, scratch_folder
+from quirework.sinks import outputs
 from quirework.streaming import completion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,15 +48,15 @@ def _artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""
-WITH {_ONE}
-SELECT doc_id, count(*) AS num_pages, md5(string_agg(markdown, chr(10) || chr(10) ORDER BY page_num)) AS markdown_md5,
-       length(string_agg(html_filtered, chr(10) || chr(10) ORDER BY page_num)) AS html_chars
-FROM one GROUP BY doc_id
+WITH {_ONE}, p AS (SELECT doc_id, page_num // 2000 AS part, count(*) AS n_pages, string_agg(coalesce(markdown, ''), chr(10) || chr(10) ORDER BY page_num) AS m,
+  string_agg(coalesce(html_filtered, ''), chr(10) || chr(10) ORDER BY page_num) AS h FROM one GROUP BY ALL),
+f AS (SELECT *, CASE WHEN part = min(part) OVER (PARTITION BY doc_id) THEN '' ELSE chr(10) || chr(10) END AS gap FROM p)
+SELECT doc_id, part, n_pages, md5(gap || m) AS markdown_md5, length(gap || h) AS html_chars FROM f
 """)
 def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document merged in page order."""
-    merged = assemble.assemble(_artifacts(spark, sf_dir))
-    return merged.select("doc_id", "num_pages", F.md5("markdown").alias("markdown_md5"), F.length("html").alias("html_chars"))
+    """Every document merged in page order, in parts of bounded size; most have one."""
+    parts = assemble.assemble_parts(_artifacts(spark, sf_dir))
+    return parts.select("doc_id", "part", "n_pages", F.md5("markdown").alias("markdown_md5"), F.length("html").alias("html_chars"))
 
 
 @_query(f"""
@@ -436,14 +437,14 @@ def data_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT doc_id, page_num, md5(replace(markdown, '(' || image_files[1] || ')', '(data:' || page_num || ')')) AS markdown_md5, count(*) AS n
-FROM page_artifacts WHERE len(image_files) = 1 GROUP BY ALL
+SELECT doc_id, page_num, md5(list_reduce(list_prepend(markdown, list_transform(image_files, lambda f: f)), lambda text, f: replace(text, '(' || f || ')', '(data:' || page_num || ':' || f || ')'))) AS markdown_md5, count(*) AS n
+FROM page_artifacts GROUP BY ALL
 """)
 def embedded_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markdown of the pages with one image, with the image's link replaced."""
-    pages = _artifacts(spark, sf_dir).where(F.size("image_files") == 1)
-    urls = F.map_from_arrays("image_files", F.array(F.concat(F.lit("data:"), F.col("page_num").cast("string"))))
-    return pages.groupBy("doc_id", "page_num", F.md5(text.embed_images(F.col("markdown"), urls)).alias("markdown_md5")).agg(F.count("*").alias("n"))
+    """Markdown of every page with the links of all its images replaced."""
+    names = F.array_distinct(F.coalesce("image_files", F.array().cast("array<string>")))
+    urls = F.map_from_arrays(names, F.transform(names, lambda f: F.concat(F.lit("data:"), F.col("page_num").cast("string"), F.lit(":"), f)))
+    return _artifacts(spark, sf_dir).groupBy("doc_id", "page_num", F.md5(text.embed_images(F.col("markdown"), urls)).alias("markdown_md5")).agg(F.count("*").alias("n"))
 
 
 @_query(r"""
@@ -468,20 +469,21 @@ def book_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""
-WITH {_ONE}, e AS (SELECT DISTINCT doc_id, unnest(expected_pages) AS page_num FROM run_state), n AS (SELECT doc_id, count(*) AS k FROM e GROUP BY doc_id)
-SELECT doc_id, count(*) AS n_pages, count(*) FILTER (WHERE error) AS n_failed FROM one JOIN n USING (doc_id) GROUP BY doc_id, k HAVING count(*) >= k
+WITH {_ONE}, e AS (SELECT DISTINCT doc_id, unnest(expected_pages) AS page_num FROM run_state),
+lacking AS (SELECT DISTINCT doc_id FROM e WHERE page_num IS NOT NULL AND NOT EXISTS (SELECT 1 FROM one WHERE one.doc_id = e.doc_id AND one.page_num = e.page_num))
+SELECT e.doc_id, count(*) AS n_pages, count(*) FILTER (WHERE one.error) AS n_failed, sum(coalesce(one.token_count, 0))::BIGINT AS total_token_count
+FROM e JOIN one ON one.doc_id = e.doc_id AND one.page_num = e.page_num WHERE e.doc_id NOT IN (SELECT doc_id FROM lacking) GROUP BY e.doc_id
 """)
 def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that a stream of their pages completes. The table is streamed file by file."""
     pages = assemble.one_per_page(_artifacts(spark, sf_dir), {"token_count": F.col("token_count"), "error": F.col("error")})
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = scratch_folder(spark, "stream")
     pages.repartition(8).write.parquet(f"{base}/pages")
-    expected = resume.expected_pages(read_table(spark, sf_dir, "run_state")).groupBy("doc_id").agg(F.count("*").alias("n_expected"))
-    expected.write.parquet(f"{base}/expected")
+    resume.expected_pages(read_table(spark, sf_dir, "run_state")).write.parquet(f"{base}/expected")
+    expected = spark.read.parquet(f"{base}/expected")
     stream = completion.read_artifacts(spark, f"{base}/pages", pages.schema, files_per_batch=4)
-    done = completion.complete_documents(stream, spark.read.parquet(f"{base}/expected"))
-    completion.drain(done, lambda batch, _: batch.write.mode("append").parquet(f"{base}/out"), f"{base}/state")
-    return spark.read.schema(completion.COMPLETE_SCHEMA).parquet(f"{base}/out").select("doc_id", "n_pages", "n_failed")
+    completion.drain(completion.complete_parts(stream, expected), lambda batch, _: batch.write.mode("append").parquet(f"{base}/parts"), f"{base}/state")
+    return completion.complete_documents(spark.read.schema(completion.PARTS_SCHEMA).parquet(f"{base}/parts"), expected)
 
 
 @_query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -498,26 +500,247 @@ def _raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.join(sizes, ["doc_id", "page_num"], "left").join(stems, "doc_id", "left")
 
 
-@_query()
+def _letters(html: Column) -> Column:
+    """Plain letters and digits of the text of HTML."""
+    bare = F.regexp_replace(F.regexp_replace(html, "<[^<>]*>", " "), "&(amp;)*(#?[a-zA-Z0-9]+;)?", "")
+    return F.regexp_replace(bare, "[^a-zA-Z0-9]", "")
+
+
+_LETTERS = "regexp_replace(regexp_replace(regexp_replace({0}, '<[^<>]*>', ' ', 'g'), '&(amp;)*(#?[a-zA-Z0-9]+;)?', '', 'g'), '[^a-zA-Z0-9]', '', 'g')"
+#: Elements whose contents never pass.
+_PAYLOADS = "|".join(f"<{tag}[^<>]*>.*?(</{tag}>|$)" for tag in ("script", "style", "iframe", "object", "embed", "noscript")) + "|<!--.*?(-->|$)"
+#: Raw output without payloads, what is cut inside a tag behind the last block, and headers, footers and blank blocks.
+_BODY = (
+    f"regexp_replace(regexp_replace(regexp_replace(coalesce(g.raw, ''), '{_PAYLOADS}', ' ', 'gis'), '(^|</div>)\\s*<[^<>]*$', '</div>'), "
+    """'<div [^<>]*data-label="(Page-Header|Page-Footer|Blank-Page)"[^<>]*>.*?(</div>|$)', ' ', 'gs')"""
+)
+#: The call that became each page, with the blocks that its text names in order.
+_BLOCKS = r"""
+calls AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_num ORDER BY attempt DESC, request_id DESC) AS k FROM generation_results),
+good AS (SELECT doc_id, page_num, raw FROM calls WHERE k = 1 AND raw IS NOT NULL AND NOT coalesce(error, false)),
+opened AS (SELECT doc_id, page_num, raw, regexp_extract_all(raw, '<div [^<>]*data-label="[^"]*"[^<>]*>') AS tags FROM good),
+blocks AS (SELECT doc_id, page_num, i, regexp_extract(tags[i], 'data-label="([^"]*)"', 1) AS label, regexp_extract(tags[i], 'data-bbox="([^"]*)"', 1) AS box
+  FROM (SELECT doc_id, page_num, tags, unnest(range(1, len(tags) + 1)) AS i FROM opened))
+"""
+_SIZES = "sizes AS (SELECT doc_id, page_num, coalesce(page_box[3], 1000) AS w, coalesce(page_box[4], 1000) AS h FROM one)"
+
+
+@_query(f"""
+WITH {_BLOCKS}, n AS (SELECT doc_id, page_num, count(*) FILTER (WHERE label <> 'Blank-Page') AS num_chunks FROM blocks GROUP BY ALL)
+SELECT c.doc_id, c.page_num, coalesce(n.num_chunks, 0) AS num_chunks, g.raw IS NULL AS error,
+  md5({_LETTERS.format(_BODY)}) AS letters_md5
+FROM (SELECT doc_id, page_num FROM calls WHERE k = 1) c LEFT JOIN good g ON g.doc_id = c.doc_id AND g.page_num = c.page_num LEFT JOIN n ON n.doc_id = c.doc_id AND n.page_num = c.page_num
+""")
 def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Artifacts made from the recorded model output."""
+    """Artifacts made from the recorded model output: number of chunks, errors, and the letters of the HTML without headers and footers."""
     made = parse.parse_pages(_raw_pages(spark, sf_dir))
-    return made.select("doc_id", "page_num", F.md5("markdown").alias("markdown_md5"), F.md5("html_filtered").alias("html_md5"), F.size("chunks").alias("num_chunks"), "error")
+    return made.select("doc_id", "page_num", F.size("chunks").alias("num_chunks"), "error", F.md5(_letters(F.col("html_filtered"))).alias("letters_md5"))
 
 
-@_query()
+@_query(f"""
+WITH {_ONE}, {_BLOCKS}, {_SIZES}, stems AS (SELECT doc_id, min(stem) AS stem FROM source_files GROUP BY doc_id),
+shown AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_num ORDER BY i) - 1 AS place, string_split(box, ' ') AS s FROM blocks WHERE label <> 'Blank-Page'),
+b AS (SELECT *, CASE WHEN len(s) = 4 AND len(list_filter(s, lambda x: NOT regexp_full_match(x, '[+-]?[0-9]+'))) = 0 THEN list_transform(s, lambda x: x::INT) ELSE [0, 0, 1000, 1000] END AS q FROM shown)
+SELECT b.doc_id, b.page_num, coalesce(nullif(b.label, ''), 'block') AS label,
+  CASE WHEN t.stem IS NULL THEN '_/' ELSE coalesce(nullif(trim(regexp_replace(t.stem, '[^\\p{{L}}\\p{{N}}_-]+', '-', 'g'), '-'), ''), '_') || '/' || lpad(b.page_num::VARCHAR, 4, '0') || '/' END || lpad(place::VARCHAR, 3, '0') AS chunk_id,
+  concat_ws(' ', greatest(0, trunc(q[1] * (coalesce(w, 1000) / 1000.0::DOUBLE)))::INT, greatest(0, trunc(q[2] * (coalesce(h, 1000) / 1000.0::DOUBLE)))::INT,
+    least(trunc(q[3] * (coalesce(w, 1000) / 1000.0::DOUBLE)), coalesce(w, 1000))::INT, least(trunc(q[4] * (coalesce(h, 1000) / 1000.0::DOUBLE)), coalesce(h, 1000))::INT) AS bbox
+FROM b LEFT JOIN sizes z ON z.doc_id = b.doc_id AND z.page_num = b.page_num LEFT JOIN stems t ON t.doc_id = b.doc_id
+""")
 def parsed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks made from the recorded model output."""
+    """Chunks made from the recorded model output: names, labels and boxes in pixels."""
     made = parse.parse_pages(_raw_pages(spark, sf_dir))
     chunks = made.select("doc_id", "page_num", F.explode("chunks").alias("c"))
-    return chunks.select("doc_id", "page_num", "c.chunk_id", "c.label", F.array_join("c.bbox", " ").alias("bbox"), F.md5("c.content").alias("content_md5"), "c.image_name")
+    return chunks.select("doc_id", "page_num", "c.chunk_id", "c.label", F.array_join("c.bbox", " ").alias("bbox"))
 
 
-@_query()
+@_query(f"""
+SELECT DISTINCT doc_id, page_num, md5({_LETTERS.format(f"regexp_replace(raw_html, '{_PAYLOADS}', ' ', 'gis')")}) AS letters_md5, len(regexp_extract_all(raw_html, '<div( [^<>]*)?>')) AS n_divs, len(regexp_extract_all(raw_html, '<p( [^<>]*)?>')) AS n_paragraphs,
+  len(regexp_extract_all(raw_html, '<t[dh]( [^<>]*)?>')) AS n_cells, len(regexp_extract_all(raw_html, '<img( [^<>]*)?/?>')) AS n_images, raw_html IS NULL AS missing
+FROM page_artifacts
+""")
 def sanitized_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sanitized model output of every page."""
+    """Sanitized model output of every page: its letters and how many elements of some kinds it keeps."""
     clean = parse.sanitized(_artifacts(spark, sf_dir).select("doc_id", "page_num", "raw_html"), "raw_html")
-    return clean.select("doc_id", "page_num", F.md5("raw_html").alias("html_md5"), F.length("raw_html").alias("n_chars")).distinct()
+    html = F.col("raw_html")
+    counts = {"n_divs": "<div[ >]", "n_paragraphs": "<p[ >]", "n_cells": "<t[dh][ >]", "n_images": "<img[ />]"}
+    return clean.select("doc_id", "page_num", F.md5(_letters(html)).alias("letters_md5"), *[F.regexp_count(html, F.lit(p)).alias(n) for n, p in counts.items()], html.isNull().alias("missing")).distinct()
+
+
+@_query(f"""
+WITH {_BLOCKS}
+SELECT doc_id, page_num, string_agg(i, ',' ORDER BY i) AS image_blocks FROM blocks WHERE label IN ('Image', 'Figure') GROUP BY doc_id, page_num
+""")
+def parsed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the blocks that images are named after, counted from 1 with blank blocks, on every page that has some."""
+    made = parse.parse_pages(_raw_pages(spark, sf_dir)).select("doc_id", "page_num", F.filter(F.transform("chunks", lambda c: c["image_name"]), lambda n: n.isNotNull()).alias("names"))
+    return made.where(F.size("names") > 0).select("doc_id", "page_num", F.array_join(F.transform("names", lambda n: F.regexp_extract(n, r"_(\d+)_img\.webp$", 1)), ",").alias("image_blocks"))
+
+
+@_query("""
+WITH dirs AS (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, stem FROM source_files),
+listed AS (SELECT DISTINCT path FROM source_files UNION SELECT dir || '/' || stem || '/copy.pdf' FROM dirs UNION SELECT dir || '/' || stem || '/deep/scan.png' FROM dirs UNION SELECT dir || '/beside/' || stem || '.tiff' FROM dirs)
+SELECT path FROM listed WHERE lower(regexp_extract(path, '(\\.[^./]+)$', 1)) IN ('.pdf', '.png', '.jpg', '.jpeg', '.gif', '.webp', '.tiff', '.bmp')
+  AND NOT EXISTS (SELECT 1 FROM dirs WHERE starts_with(listed.path, dirs.dir || '/' || dirs.stem || '/'))
+""")
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source documents among listed files, when every book has an output folder with copies in it beside other folders."""
+    from quirework.sources import files
+
+    sources = read_table(spark, sf_dir, "source_files")
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    more = [F.concat(folder, F.lit("/"), F.col("stem"), F.lit("/"), name) for name in (F.concat("stem", F.lit(".md")), F.lit("copy.pdf"), F.lit("deep/scan.png"))]
+    added = sources.select(F.explode(F.array(*more, F.concat(folder, F.lit("/beside/"), F.col("stem"), F.lit(".tiff")))).alias("path"))
+    listed = sources.select("path").unionByName(added).distinct()
+    return files.supported(files.outside(listed, files.output_folders(listed))).select("path")
+
+
+@_query("""
+SELECT DISTINCT page_num, lpad(page_num::VARCHAR, 4, '0') || '.json' AS name, true AS is_artifact, false AS unfinished_is FROM page_artifacts WHERE page_num IS NOT NULL
+""")
+def artifact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names of page artifacts, told from those of unfinished writes."""
+    named = _artifacts(spark, sf_dir).where("page_num is not null").select("page_num").distinct().withColumn("name", text.page_artifact_name(F.col("page_num")))
+    return named.select("page_num", "name", text.is_page_artifact(F.col("name")).alias("is_artifact"), text.is_page_artifact(F.concat("name", F.lit(".tmp"))).alias("unfinished_is"))
+
+
+@_query("SELECT doc_id, doc_id % 3 = 0 AS is_pdf FROM documents WHERE text IS NOT NULL")
+def pdf_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which contents are PDFs, by their first bytes."""
+    docs = read_table(spark, sf_dir, "documents").where("text is not null")
+    content = F.encode(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("%PDF"), F.col("text"))).otherwise(F.concat(F.lit("x%PDF"), F.col("text"))), "UTF-8")
+    return docs.select("doc_id", text.is_pdf(content).alias("is_pdf"))
+
+
+@_query("""
+SELECT DISTINCT doc_id, run_no, len(list_filter(expected_pages, lambda p: p >= 0 AND p < 20)) AS n_wanted, 20 AS n_all, array_to_string(list_filter(expected_pages, lambda p: p >= 0 AND p < 20), ' ') AS pages FROM run_state WHERE expected_pages IS NOT NULL
+""")
+def selected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested pages of documents of 20 pages that exist, and how many there are without a request."""
+    states = read_table(spark, sf_dir, "run_state").where("expected_pages is not null")
+    total, none = F.lit(20), F.lit(None).cast("array<int>")
+    wanted = F.array_join(ranges.selected(F.col("expected_pages"), total), " ")
+    return states.select("doc_id", "run_no", ranges.count_selected(F.col("expected_pages"), total).alias("n_wanted"), ranges.count_selected(none, total).alias("n_all"), wanted.alias("pages")).distinct()
+
+
+@_query("""
+SELECT DISTINCT upper(regexp_extract(path, '\\.([^./]+)$', 1)) AS format, CASE WHEN upper(regexp_extract(path, '\\.([^./]+)$', 1)) = 'JPEG' THEN 'image/jpeg' ELSE 'image/' || lower(regexp_extract(path, '\\.([^./]+)$', 1)) END AS mime
+FROM source_files
+""")
+def mime_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MIME types of the formats that occur."""
+    formats = read_table(spark, sf_dir, "source_files").select(F.upper(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("format")).distinct()
+    return formats.select("format", text.mime_type(F.col("format")).alias("mime"))
+
+
+@_query("""
+WITH p AS (SELECT DISTINCT doc_id, page_num FROM page_artifacts WHERE page_num IS NOT NULL)
+SELECT doc_id, page_num, '{"role":"user","content":[{"type":"image_url","image_url":{"url":"data:' || doc_id || '"}},{"type":"text","text":"'
+  || CASE WHEN page_num % 5 = 0 THEN 'own ' || page_num WHEN page_num % 2 = 0 THEN 'read' ELSE 'lay out' END || '"}]}' AS message FROM p
+""")
+def request_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request about every page, with its own prompt or the one of its kind."""
+    pages = _artifacts(spark, sf_dir).where("page_num is not null").select("doc_id", "page_num").distinct()
+    own = F.when(F.col("page_num") % 5 == 0, F.concat(F.lit("own "), F.col("page_num").cast("string"))).when(F.col("page_num") % 3 == 0, "")
+    kind = F.when(F.col("page_num") % 2 == 0, "ocr").otherwise("ocr_layout")
+    asked = model.prompt(own, kind, {"ocr": "read", "ocr_layout": "lay out"})
+    return pages.select("doc_id", "page_num", F.to_json(model.message(asked, F.concat(F.lit("data:"), F.col("doc_id")))).alias("message"))
+
+
+class _Reader:
+    """A model whose answers are known: it loops at first on some pages, and refuses others."""
+
+    def generate(self, requests: pd.DataFrame, temperature: float, top_p: float) -> pd.DataFrame:
+        rows = []
+        for doc, page in zip(requests["doc_id"], requests["page_num"]):
+            if page % 11 == 5:
+                rows.append((None, 0, True, "auth"))
+            elif page % 7 == 3 and temperature < 0.1 * (page % 4 + 1):
+                rows.append(("again " * 60, 60, False, None))
+            else:
+                rows.append((f"{doc} {page}", len(doc), False, None))
+        return pd.DataFrame(rows, columns=["raw", "token_count", "error", "error_kind"])
+
+
+@_query("""
+WITH p AS (SELECT DISTINCT doc_id, page_num FROM page_artifacts WHERE page_num IS NOT NULL)
+SELECT doc_id, page_num, CASE WHEN page_num % 11 = 5 THEN '' ELSE doc_id || ' ' || page_num END AS raw, CASE WHEN page_num % 11 = 5 THEN 0 ELSE length(doc_id) END AS token_count, page_num % 11 = 5 AS error,
+  CASE WHEN page_num % 11 = 5 THEN 'auth' END AS error_kind, CASE WHEN page_num % 11 <> 5 AND page_num % 7 = 3 THEN 1 + (page_num % 4 + 2) // 2 ELSE 1 END AS attempts
+FROM p
+""")
+def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to every page after retries, each beside the page it belongs to."""
+    pages = _artifacts(spark, sf_dir).where("page_num is not null").select("doc_id", "page_num").distinct()
+    return model.generate(pages, _Reader)
+
+
+@_query("""
+WITH p AS (SELECT doc_id, page_num, max(finished_at) AS finished_at, bool_or(coalesce(error, false)) AS error FROM generation_results WHERE page_num IS NOT NULL GROUP BY doc_id, page_num),
+b AS (SELECT doc_id, min(stem) AS stem, min(path) AS path FROM source_files GROUP BY doc_id), o AS (SELECT *, row_number() OVER (ORDER BY path, doc_id) AS book_no, count(*) OVER () AS n_books FROM b),
+n AS (SELECT *, 3 + row_number() OVER (PARTITION BY doc_id ORDER BY finished_at NULLS FIRST, page_num) AS n_done, 3 + count(*) OVER (PARTITION BY doc_id) AS total FROM p)
+SELECT n.doc_id, page_num, printf('  Book # %d of %d, %s, Page # %d of %d%s', book_no, n_books, stem, page_num + 1, total, CASE WHEN error THEN ' ERR' ELSE '' END) AS line
+FROM n JOIN o ON o.doc_id = n.doc_id WHERE n_done % 4 = 0 OR n_done = total
+""")
+def progress_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that a run prints which goes on after three pages of each book were done, for every fourth page."""
+    pages = read_table(spark, sf_dir, "generation_results").where("page_num is not null").groupBy("doc_id", "page_num").agg(F.max("finished_at").alias("finished_at"), F.bool_or(F.coalesce("error", F.lit(False))).alias("error"))
+    totals = pages.groupBy("doc_id").agg((F.count("*") + 3).alias("total")).withColumn("already_done", F.lit(3))
+    sources = read_table(spark, sf_dir, "source_files")
+    books = progress.book_numbers(sources).join(sources.groupBy("doc_id").agg(F.min("stem").alias("stem")), "doc_id")
+    return progress.lines(progress.page_progress(pages, totals, every=4).join(books.select("doc_id"), "doc_id"), books)
+
+
+@_query(f"""
+WITH {_ONE}, f AS (SELECT doc_id, min(regexp_extract(path, '([^/]*)$', 1)) AS file_name FROM source_files GROUP BY doc_id),
+m AS (SELECT doc_id, page_num, page_box, coalesce(token_count, 0) AS token_count, coalesce(len(chunks), 0)::INT AS num_chunks, coalesce(len(image_files), 0)::INT AS num_images, error FROM one),
+j AS (SELECT doc_id, count(*) AS num_pages, sum(token_count)::BIGINT AS total_token_count, sum(num_chunks)::BIGINT AS total_chunks, sum(num_images)::BIGINT AS total_images,
+  list({{'page_num': page_num, 'page_box': page_box, 'token_count': token_count, 'num_chunks': num_chunks, 'num_images': num_images, 'error': error}} ORDER BY page_num) AS pages FROM m GROUP BY doc_id)
+SELECT j.doc_id, to_json({{'file_name': file_name, 'num_pages': num_pages, 'total_token_count': total_token_count, 'total_chunks': total_chunks, 'total_images': total_images, 'pages': pages}})::VARCHAR AS metadata
+FROM j LEFT JOIN f USING (doc_id)
+""")
+def metadata_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of every document as it is written to its file."""
+    names = read_table(spark, sf_dir, "source_files").groupBy("doc_id").agg(F.min(text.file_name(F.col("path"))).alias("file_name"))
+    return assemble.metadata_json(_artifacts(spark, sf_dir), names)
+
+
+@_query(f"""
+WITH {_ONE}, c AS (SELECT doc_id, page_num, unnest(chunks) AS k, generate_subscripts(chunks, 1) - 1 AS position FROM one)
+SELECT doc_id, page_num, position, md5(to_json(k)::VARCHAR) AS line_md5 FROM c
+""")
+def chunk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the chunks' files: every chunk as JSON."""
+    chunks = assemble.document_chunks(_artifacts(spark, sf_dir))
+    fields = F.struct(*[c for c in chunks.columns if c not in ("doc_id", "page_num", "position")])
+    return chunks.select("doc_id", "page_num", "position", F.md5(F.to_json(fields, {"ignoreNullFields": "false"})).alias("line_md5"))
+
+
+@_query(f"""
+WITH {_ONE}
+SELECT doc_id, page_num, md5(to_json({{'image_base64': 'data:' || doc_id, 'image_width': page_box[3], 'image_height': page_box[4],
+  'blocks': list_transform(chunks, lambda c: {{'bbox': c.bbox, 'label': c.label}}), 'html': html_filtered, 'markdown': markdown}})::VARCHAR) AS body_md5
+FROM one WHERE page_box IS NOT NULL AND chunks IS NOT NULL AND html_filtered IS NOT NULL AND markdown IS NOT NULL
+""")
+def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer to a request about every page."""
+    pages = assemble.one_per_page(_artifacts(spark, sf_dir)).where("page_box is not null and chunks is not null and html_filtered is not null and markdown is not null")
+    shown = pages.select(
+        "doc_id", "page_num", F.concat(F.lit("data:"), F.col("doc_id")).alias("image_url"), F.get("page_box", F.lit(2)).alias("width"), F.get("page_box", F.lit(3)).alias("height"),
+        F.transform("chunks", lambda c: F.struct(c["bbox"].alias("bbox"), c["label"].alias("label"))).alias("blocks"), F.col("html_filtered").alias("html"), "markdown",
+    )
+    return outputs.response(shown, keep=("doc_id", "page_num")).select("doc_id", "page_num", F.md5("body").alias("body_md5"))
+
+
+@_query("""
+SELECT doc_id, page_num, sum(len(list_filter(regexp_extract_all(html_filtered, '<img[^<>]*src="([^"]*)"', 1), lambda s: list_contains(image_files, s))))::BIGINT AS n_data_urls FROM page_artifacts WHERE html_filtered IS NOT NULL GROUP BY doc_id, page_num
+""")
+def inlined_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many images of each page are replaced by data URLs."""
+    pages = _artifacts(spark, sf_dir).where("html_filtered is not null")
+    names = F.array_distinct(F.coalesce("image_files", F.array().cast("array<string>")))
+    urls = F.map_from_arrays(names, F.transform(names, lambda f: F.concat(F.lit("data:"), f)))
+    made = parse.with_inline_images(pages.select("doc_id", "page_num", "html_filtered", urls.alias("urls")), "html_filtered", "urls")
+    return made.groupBy("doc_id", "page_num").agg(F.sum(F.regexp_count("html_filtered", F.lit('src="data:'))).alias("n_data_urls"))
 
 
 @_query(f"""

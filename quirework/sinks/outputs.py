@@ -58,16 +58,39 @@ def write_documents(artifacts: DataFrame, names: DataFrame, folder: str, paginat
     chunks.repartitionByRange("doc_id", "page_num").sortWithinPartitions("doc_id", "page_num", "position").write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/chunks")
 
 
-def export_files(documents: DataFrame, folder: str, column: str, suffix: str) -> None:
-    """One file per document in ``folder``, for a file system all executors share: needs stem and ``column``."""
+def export_files(documents: DataFrame, folder: str, column: str, suffix: str, name: str | None = None) -> None:
+    """One file per document in ``folder``, for a file system all executors share: needs stem and ``column``.
+
+    The file is called ``name``, or after the stem with ``suffix``.
+    """
 
     def save(rows) -> None:  # noqa: ANN001
         for row in rows:
-            write_text(Path(folder) / row["stem"] / f"{row['stem']}{suffix}", row["content"] or "")
+            write_text(Path(folder) / row["stem"] / (name or f"{row['stem']}{suffix}"), row["content"] or "")
 
     documents.select("stem", F.col(column).alias("content")).foreachPartition(save)
 
 
+def export_documents(artifacts: DataFrame, documents: DataFrame, folder: str, paginated: bool = False, html: bool = True) -> None:
+    """``<stem>.md``, ``.html``, ``_metadata.json`` and ``chunks.jsonl`` of every document, each in a folder of its name.
+
+    For documents that fit a value each, and a file system that all executors share; :func:`write_documents` takes
+    documents of any size. ``documents``: doc_id, stem, file_name. Documents of the same stem share a folder, the later
+    one goes before.
+    """
+    names = documents.select("doc_id", "stem", "file_name").distinct()
+    whole = assemble.assemble(artifacts, paginated).join(names.select("doc_id", "stem"), "doc_id")
+    export_files(whole, folder, "markdown", ".md")
+    if html:
+        export_files(whole, folder, "html", ".html")
+    export_files(assemble.metadata_json(artifacts, names).join(names.select("doc_id", "stem"), "doc_id"), folder, "metadata", "_metadata.json")
+    chunks = assemble.document_chunks(artifacts)
+    fields = F.struct(*[c for c in chunks.columns if c not in ("doc_id", "page_num", "position")])
+    rows = chunks.select("doc_id", F.struct("page_num", "position", F.to_json(fields, {"ignoreNullFields": "false"}).alias("line")).alias("c"))
+    texts = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list("c")).alias("c")).select("doc_id", F.concat(F.array_join(F.transform("c", lambda c: c["line"]), "\n"), F.lit("\n")).alias("chunks"))
+    export_files(names.select("doc_id", "stem").join(texts, "doc_id"), folder, "chunks", "", "chunks.jsonl")
+
+
 def purge(folder: str | Path, waits: tuple[float, ...] = PURGE_WAITS, remove: Callable[[Path], None] = shutil.rmtree) -> bool:
     """Remove a work folder, trying again after each wait; whether it is gone."""
     folder = Path(folder)
@@ -92,9 +115,9 @@ def rewrite_file(path: str | Path, content: str, apply: bool = False) -> bool:
     return apply
 
 
-def response(page: DataFrame) -> DataFrame:
+def response(page: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON answer about one page: its image, size, coloured blocks, HTML and markdown, as the column ``body``.
 
-    Needs image_url, width, height, html, markdown and blocks (array of bbox, label and color).
+    Needs image_url, width, height, html, markdown and blocks (array of bbox, label and color); the columns ``keep`` stay.
     """
-    return page.select(F.to_json(F.struct(F.col("image_url").alias("image_base64"), F.col("width").alias("image_width"), F.col("height").alias("image_height"), "blocks", "html", "markdown")).alias("body"))
+    return page.select(*keep, F.to_json(F.struct(F.col("image_url").alias("image_base64"), F.col("width").alias("image_width"), F.col("height").alias("image_height"), "blocks", "html", "markdown")).alias("body"))

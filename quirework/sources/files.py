@@ -11,7 +11,6 @@ from quirework.functions import text
 
 # Extensions of source documents.
 SUPPORTED = (".pdf", ".png", ".jpg", ".jpeg", ".gif", ".webp", ".tiff", ".bmp")
-UPLOADS = (".pdf", ".png", ".jpg", ".jpeg", ".gif", ".webp", ".tiff", ".bmp")
 WORK_FOLDER = ".partial"
 CHUNKS_FILE = "chunks.jsonl"
 
@@ -48,6 +47,14 @@ def supported(files: DataFrame) -> DataFrame:
     return files.where(text.suffix(F.col("path")).isin(*SUPPORTED))
 
 
+def outside(files: DataFrame, folders: DataFrame) -> DataFrame:
+    """``files`` (path) but for those anywhere below one of ``folders`` (folder). Only paths are joined."""
+    parts = F.split("path", "/")
+    ancestors = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    inside = files.select("path", F.explode(ancestors).alias("folder")).join(folders, "folder", "left_semi").select("path").distinct()
+    return files.join(inside, "path", "left_anti")
+
+
 def discover(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Source documents at a path, a folder or a pattern: doc_id, stem, path, length, modification_time.
 
@@ -61,13 +68,11 @@ def discover(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
     if not _is_glob(path) and not _exists(spark, path):
         raise ValueError(f"path does not exist: {path}")
     files = list_files(spark, path, recursive)
-    if not _is_glob(path) and _is_folder(spark, path):
-        every = list_files(spark, path, True) if not recursive else files
-        depth = every.agg(F.max(F.size(F.split("path", "/")))).first()[0] or 0
-        folders = output_folders(every).unionByName(work_folders(spark, path, max(0, depth - len(_uri(spark, path).split("/")))))
-        ancestors = F.transform(F.sequence(F.lit(1), F.greatest(F.size(F.split("path", "/")) - 1, F.lit(1))), lambda n: F.array_join(F.slice(F.split("path", "/"), F.lit(1), n), "/"))
-        inside = files.select("path", F.explode(ancestors).alias("folder")).join(folders.where(F.col("folder") != F.lit(_uri(spark, path))), "folder", "left_semi").select("path").distinct()
-        files = files.join(inside, "path", "left_anti")
+    if recursive and not _is_glob(path) and _is_folder(spark, path):
+        # What a call that isn't recursive lists lies in no folder but the one it names.
+        depth = (files.agg(F.max(F.size(F.split("path", "/")))).first()[0] or 0) - len(_uri(spark, path).split("/"))
+        folders = output_folders(files).unionByName(work_folders(spark, path, max(0, depth)))
+        files = outside(files, folders.where(F.col("folder") != F.lit(_uri(spark, path))))
     found = supported(files)
     return found.select(F.md5("path").alias("doc_id"), text.stem(F.col("path")).alias("stem"), "path", "length", "modification_time")
 
@@ -102,7 +107,7 @@ def check_upload(file_name: str | None, page_number: object = 0) -> int:
     """Page number, from 0, of a valid request for one page of an uploaded file; else ``ValueError`` says why not."""
     if not file_name:
         raise ValueError("there is no file")
-    if PurePosixPath(file_name).suffix.lower() not in UPLOADS:
+    if PurePosixPath(file_name).suffix.lower() not in SUPPORTED:
         raise ValueError(f"unsupported file type {PurePosixPath(file_name).suffix!r}")
     try:
         number = int(str(page_number))
