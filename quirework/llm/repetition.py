@@ -111,7 +111,10 @@ def measure_texts(texts: list[str | None]) -> pd.DataFrame:
     doc = np.repeat(np.arange(len(texts)), ends - begins)
     with np.errstate(over="ignore"):
         salted = ids * np.uint64(0x9E3779B97F4A7C15) ^ (ids >> np.uint64(29))
-    sign = np.fromiter((c == 1 and bool(_SIGN.match(w)) for c, w in zip(size, words)), bool, n) if any(not t.isascii() for t in texts if t) else np.zeros(n, bool)
+    sign = np.zeros(n, bool)
+    if any(t and not t.isascii() and _SIGN.search(t) for t in texts):
+        for k in np.flatnonzero(size == 1).tolist():
+            sign[k] = _SIGN.match(words[k]) is not None
 
     def windows(width: int) -> tuple[np.ndarray, np.ndarray]:
         """Beginnings of the windows that lie within one text, and their hashes."""
