@@ -61,6 +61,7 @@ _HYPHEN_GAP = re.compile(r"(?<=[^\W\d_])[-­¬‐] (?=[^\W\d_])")
 UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{UNSPACED}]|[^\W_{UNSPACED}]+")
 _SPACED_WORD = re.compile(r"[^\W_]+")
+_SIGN = re.compile(f"[{UNSPACED}]")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -78,7 +79,7 @@ def words_of(text: str | None) -> list[str]:
     if "&" in text:
         text = _REFERENCE.sub(" ", text)
     text = text.lower()
-    return (_SPACED_WORD if text.isascii() or max(text) < "฀" else _WORD).findall(text)
+    return (_SPACED_WORD if text.isascii() or not _SIGN.search(text) else _WORD).findall(text)
 
 
 class Units:
@@ -296,6 +297,10 @@ def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int,
             pairs.setdefault((doc, int(units.unit[k])), []).append((pos - begin, int(units.position[k])))
     out = []
     for (doc, unit), hits in pairs.items():
+        # A stretch of n words with c changes, c being n / 8 at most, leaves tiles with 7n / 8 - 4 (c + 1) seeds or more:
+        # from 15 words on that is two at least, so what shares a single seed by chance needn't be tiled.
+        if len(units.ids[unit]) >= RUN_WORDS and all(position == hits[0][1] for _, position in hits):
+            continue
         begin = ends[doc - 1] if doc else 0
         out.append((doc, unit, *compared(ids[begin : ends[doc] - 1], units.ids[unit], hits)))
     return out
