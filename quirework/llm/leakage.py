@@ -269,8 +269,23 @@ def compared(own: np.ndarray, target: np.ndarray, hits: list[tuple[int, int]]) -
     return run, stretch, float(covered.mean())
 
 
-def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int, int, float]]:
-    """(text, unit, longest run, longest stretch, coverage) of every text, given as its words, and unit that share a seed."""
+def _seed_run(hits: list[tuple[int, int]]) -> int:
+    """Words of the longest unchanged run that seeds in a row make up; hits are in the order of the text."""
+    best, last = 0, {}
+    for at, position in hits:
+        before, n = last.get(at - position, (-2, 0))
+        n = n + 1 if before == at - 1 else 1
+        last[at - position] = (at, n)
+        best = max(best, n)
+    return best + SEED_WORDS - 1
+
+
+def scan(texts: Iterable[list[str]], units: Units, measured: bool = True) -> list[tuple[int, int, int, int, float]]:
+    """(text, unit, longest run, longest stretch, coverage) of every text, given as its words, and unit that share seeds.
+
+    Where only the verdict is wanted, not ``measured``, a unit whose seeds alone make up RUN_WORDS in a row isn't tiled:
+    the run is as long as the seeds say, stretch and coverage are left 0.
+    """
     get = units.vocabulary.get
     flat: list[int] = []
     ends = []
@@ -301,6 +316,9 @@ def scan(texts: Iterable[list[str]], units: Units) -> list[tuple[int, int, int,
         # from 15 words on that is two at least, so what shares a single seed by chance needn't be tiled.
         if len(units.ids[unit]) >= RUN_WORDS and all(position == hits[0][1] for _, position in hits):
             continue
+        if not measured and (run := _seed_run(hits)) >= RUN_WORDS:
+            out.append((doc, unit, run, 0, 0.0))
+            continue
         begin = ends[doc - 1] if doc else 0
         out.append((doc, unit, *compared(ids[begin : ends[doc] - 1], units.ids[unit], hits)))
     return out

@@ -50,7 +50,7 @@ def _add(out: list[str], block: str) -> None:
     if "\n" in block:
         block = _HYPHEN.sub(r"\1", block)
     words = block.split()
-    if len(words) >= 4 and sum(w[0].islower() for w in words) * 2 >= len(words):
+    if len(words) >= 4 and sum(map(str.islower, [w[0] for w in words])) * 2 >= len(words):
         out.append(" ".join(words))
 
 

@@ -61,7 +61,7 @@ FEATURES = "doc_id bigint, words array<int>, ends array<int>"
 def _without_leaks(pages: list[list[list[str]]], block: leakage.Units) -> list[list[list[str]]]:
     """Words of every paragraph, without what is pasted from units of test items."""
     leaked: dict[int, list[int]] = {}
-    for doc, unit, run, stretch, _ in leakage.scan((list(chain.from_iterable(page)) for page in pages), block):
+    for doc, unit, run, stretch, _ in leakage.scan((list(chain.from_iterable(page)) for page in pages), block, measured=False):
         if max(run, stretch) >= leakage.RUN_WORDS:
             leaked.setdefault(doc, []).append(unit)
     for doc, found in leaked.items():

@@ -168,3 +168,20 @@ def test_random_copies(spark):
 
 def test_very_long_text():
     assert leaks("w " * 500_000 + UNIT + " w" * 500_000)
+
+
+def test_verdicts_need_no_measure():
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(60)]
+    units = lk.Units([" ".join(rng.choices(vocabulary, k=40)) for _ in range(6)], list(range(6)))
+    texts = []
+    for _ in range(80):
+        source = rng.choice(units.ids).tolist()
+        names = {k: w for w, k in units.vocabulary.items()}
+        at, n = rng.randrange(20), rng.randint(8, 20)
+        copy = [names[k] for k in source[at : at + n]]
+        if rng.random() < 0.5:
+            copy[n // 2] = "other"
+        texts.append([*rng.choices(vocabulary, k=15), *copy, *rng.choices(vocabulary, k=15)])
+    whole, quick = ({(d, u) for d, u, run, stretch, _ in lk.scan(texts, units, m) if max(run, stretch) >= lk.RUN_WORDS} for m in (True, False))
+    assert whole == quick and whole
