@@ -98,7 +98,7 @@ def test_names():
         ('<math display="block"> a = b </math>', "$$a = b$$"), ("<pre><code>a_b\n  c</code></pre>", "```\na_b\n  c\n```"),
         ("<ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>", "- a\n  - b\n- c"), ("<ol><li>a</li><li>b</li></ol>", "1. a\n2. b"),
         ('<a href="u">x [1] (y)</a>', "[x \\[1\\] \\(y\\)](u)"), ("<p>a<br/>b</p>", "a\nb"), ("<p>H<sub>2</sub>O <sup>x</sup></p>", "H<sub>2</sub>O <sup>x</sup>"),
-        ("<p>a</p><table><tr><td>1</td></tr></table><p>b</p>", "a\n\n<table><tr><td>1</td></tr></table>\n\nb"), ("<p>a   b\n c</p>", "a b c"), ("<p><del>a</del> <i>b</i></p>", "~~a~~ *b*"),
+        ("<p>a</p><table><tr><td>1</td></tr></table><p>b</p>", "a\n\n<table><tr><td>1</td></tr></table>\n\nb"), ("<p>a   b\n c</p>", "a b\n c"), ("<p><del>a</del> <i>b</i></p>", "~~a~~ *b*"),
         ("<p><code>a_b</code></p>", "`a_b`"), ("<hr/>", "---"), ("", ""),
     ],
 )
