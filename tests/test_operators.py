@@ -211,7 +211,7 @@ def test_parsed_pages_agree_with_the_table(spark, sf):
     both = table.distinct().join(made, ["doc_id", "page_num", "raw_html"])
     row = both.agg(F.avg((F.col("h") == F.col("html_filtered")).cast("int")).alias("html"), F.avg((F.col("n") == F.size("chunks")).cast("int")).alias("chunks"), F.avg((F.col("m") == F.col("markdown")).cast("int")).alias("md")).first()
     # The table's fields carry planted dirt of their own.
-    assert row["html"] > 0.9 and row["chunks"] > 0.97 and row["md"] > 0.75
+    assert row["html"] > 0.93 and row["chunks"] > 0.97 and row["md"] > 0.84
 
 
 def test_images_are_inlined():
