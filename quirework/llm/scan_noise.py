@@ -4,8 +4,8 @@ A noisy-channel repair in three passes over the corpus.
 
 1. Words and word pairs of the running text of all pages are counted, in each partition first. Every word has a
    skeleton that is the same for all readings a scanner confuses (rn/m, cl/d, e/c, s/5 ...); words that share a
-   skeleton with a clearly more frequent word get that word (and the second most frequent one) as candidates.
-   The probability of each confusion is estimated from these pairs.
+   skeleton with clearly more frequent words get all of those as candidates that have no candidates themselves.
+   The probability of each confusion is estimated from all words and their most frequent candidates.
 2. Every page names the pairs of words that its repair may have to weigh: those around words with candidates, the parts
    of words that may be joined up, words on both sides of a gap or a line end. Their exact counts are looked up.
 3. Every paragraph with a doubtful word is decoded by Viterbi over the word itself and its candidates: the channel gives
@@ -14,8 +14,8 @@ A noisy-channel repair in three passes over the corpus.
    broken at line ends are rejoined or split where the result is a known word. Running heads and page numbers that
    stand in the body are taken out. What is left is joined to continuous paragraphs.
 
-The ``CACHE_WORDS`` most frequent words with their candidates, and up to ``CACHE_PAIRS`` pairs, go to the workers as
-broadcasts of bounded size; what doesn't fit is joined to the pages that need it, with the same results. Frequencies
+The most frequent words with their candidates, ``CACHE_WORDS`` in all, and up to ``CACHE_PAIRS`` pairs, go to the workers
+as broadcasts of bounded size; what doesn't fit is joined to the pages that need it, with the same results. Frequencies
 are compared with each other, never with fixed numbers that a larger corpus would reach by its size; small counts are
 allowed the error they have.
 """
@@ -31,13 +31,14 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm.prose import paragraphs
 from quirework.session import cut_lineage
 
-#: Most words sent to the workers at once; about 20 MB. Words beyond them are joined to their pages.
+#: Most words sent to the workers at once, every candidate beyond a word's second counted as one more; about 20 MB. Words
+#: beyond them are joined to their pages.
 CACHE_WORDS = 200_000
 #: Most pairs with their counts sent to the workers at once; 16 MB.
 CACHE_PAIRS = 1_000_000
@@ -154,32 +155,41 @@ def count_words(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counted.where("word is not null").select("word", "n"), counted.where("word is null").select("pair", "n")
 
 
+def _fits(word: Column, offer: Column) -> Column:
+    """Whether ``offer`` is clearly more frequent than ``word``."""
+    # A different accent makes another word, but for the i, whose dot is taken for one.
+    another = (offer["bare"] != word["bare"]) | (offer["dotless"] == word["dotless"])
+    return (offer["n"] >= word["least"]) & (offer["word"] != word["word"]) & another
+
+
 def candidates(words: DataFrame) -> DataFrame:
-    """Words with up to two candidates: (word, n, c1, n1, c2, n2), candidates null where there are none."""
+    """Words with all their candidates, the most frequent first: (word, n, c1, n1, c2, n2, more).
+
+    c1 and c2 are null where there are none; ``more`` holds the third and all further ones. A word with candidates is
+    no candidate: decoding takes it for a word never seen, so that it never wins over the word as it stands.
+    """
 
     @F.pandas_udf("string")
     def skeletons(column: pd.Series) -> pd.Series:
         return column.map(skeleton)
 
-    formed = words.withColumn("skeleton", skeletons("word"))
-    usable = formed.where((F.col("n") >= MIN_KNOWN) & ~F.col("word").rlike(r"\d")).select("skeleton", F.struct("n", "word").alias("s"))
-    best = usable.groupBy("skeleton").agg(F.max("s").alias("b1"))
-    second = usable.join(best, "skeleton").where("s != b1").groupBy("skeleton").agg(F.max("s").alias("b2"))
-    offered = best.join(second, "skeleton", "left")
-    joined = formed.join(offered, "skeleton", "left")
-
-    def offer(b: str) -> F.Column:
-        mixed = F.col("word").rlike(r"\p{L}\d|\d\p{L}") & ~F.col("word").rlike(r"^\d+(th|st|nd|rd|er|e|s|h|km|kg|g|cm|mm|m)$")
-        certain = F.greatest(RARE_RATIO * F.col("n"), RATIO * (F.col("n") - F.sqrt("n")))
-        least = F.when(mixed, MIXED_RATIO * F.col("n")).otherwise(certain)
-        # A different accent makes another word, but for the i, whose dot is taken for one.
-        accents = F.translate(F.col("word"), *_ACCENTS) == F.translate(F.col(f"{b}.word"), *_ACCENTS)
-        accents = accents & (F.translate(F.col("word"), "íìï", "iii") != F.translate(F.col(f"{b}.word"), "íìï", "iii"))
-        fits = (F.length("word") > 1) & ~accents & (F.col(f"{b}.word") != F.col("word")) & (F.col(f"{b}.n") >= least) & ~F.col("word").rlike(r"^\d+$")
-        return F.when(fits, F.col(b))
-
-    joined = joined.withColumns({"o1": offer("b1"), "o2": offer("b2")})
-    return joined.select("word", "n", F.col("o1.word").alias("c1"), F.col("o1.n").alias("n1"), F.col("o2.word").alias("c2"), F.col("o2.n").alias("n2"))
+    mixed = F.col("word").rlike(r"\p{L}\d|\d\p{L}") & ~F.col("word").rlike(r"^\d+(th|st|nd|rd|er|e|s|h|km|kg|g|cm|mm|m)$")
+    certain = F.greatest(RARE_RATIO * F.col("n"), RATIO * (F.col("n") - F.sqrt("n")))
+    changeable = (F.length("word") > 1) & ~F.col("word").rlike(r"^\d+$")
+    least = F.when(~changeable, F.lit(math.inf)).when(mixed, MIXED_RATIO * F.col("n")).otherwise(certain)
+    form = F.struct("n", "word", F.translate("word", *_ACCENTS).alias("bare"), F.translate("word", "íìï", "iii").alias("dotless"), least.alias("least"))
+    formed = words.select("word", "n", skeletons("word").alias("skeleton"), form.alias("s"))
+    usable = formed.where((F.col("n") >= MIN_KNOWN) & ~F.col("word").rlike(r"\d"))
+    # The most frequent word has no candidates, so that most others are known to have one without a look at the rest.
+    best = usable.groupBy("skeleton").agg(F.max("s").alias("best"))
+    rest = usable.join(best, "skeleton").where(~_fits(F.col("s"), F.col("best")))
+    ranked = rest.groupBy("skeleton").agg(F.sort_array(F.collect_list("s"), asc=False).alias("ranked"))
+    sound = F.aggregate("ranked", F.slice("ranked", 1, 0), lambda found, s: F.when(F.exists(found, lambda offer: _fits(s, offer)), found).otherwise(F.concat(found, F.array(s))))
+    joined = formed.join(ranked.select("skeleton", sound.alias("sound")), "skeleton", "left")
+    joined = joined.withColumn("offers", F.transform(F.filter("sound", lambda offer: _fits(F.col("s"), offer)), lambda o: F.struct(o["word"].alias("word"), o["n"].alias("n"))))
+    first, second = F.get("offers", F.lit(0)), F.get("offers", F.lit(1))
+    more = F.coalesce(F.filter("offers", lambda _, k: k >= 2), F.array().cast(_OFFERS))
+    return joined.select("word", "n", first["word"].alias("c1"), first["n"].alias("n1"), second["word"].alias("c2"), second["n"].alias("n2"), more.alias("more"))
 
 
 def confusions(word: str, truth: str) -> list[tuple[str, str]]:
@@ -539,10 +549,10 @@ def repair(pages: DataFrame, keep_text: bool = True) -> DataFrame:
     spark = pages.sparkSession
     words, pairs = count_words(pages)
     lexicon = cut_lineage(candidates(words))
-    sizes = lexicon.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
-    cached = lexicon.orderBy(F.col("n").desc(), "word").limit(CACHE_WORDS).toPandas() if sizes["words"] > CACHE_WORDS else lexicon.toPandas()
+    sizes = lexicon.agg(F.coalesce(F.sum(_held()), F.lit(0)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+    cached = (_most_frequent(lexicon, CACHE_WORDS) if sizes["words"] > CACHE_WORDS else lexicon).select("word", "n", "c1", "c2", F.col("more.word").alias("more")).toPandas()
     noise = channel(lexicon, sizes["total"])
-    cache = {w: (n, c1, c2) for w, n, c1, c2 in cached[["word", "n", "c1", "c2"]].itertuples(index=False)}
+    cache = {w: (n, c1, c2, *more) for w, n, c1, c2, more in cached.itertuples(index=False)}
     shared = spark.sparkContext.broadcast((cache, sizes["total"], noise))  # bounded by CACHE_WORDS
     keyed = pages.withColumns({"k1": F.xxhash64(*_PAGE), "k2": F.xxhash64(F.lit(1), *_PAGE)})
     keyed = _with_rare_words(keyed, lexicon, shared) if sizes["words"] > CACHE_WORDS else keyed.withColumn("rare", F.lit(None).cast(_RARE))
@@ -551,8 +561,9 @@ def repair(pages: DataFrame, keep_text: bool = True) -> DataFrame:
         if rare is None or not len(rare):
             return base
         own = base.lexicon
-        more = {c: (n, None, None) for r in rare for c, n in ((r["c1"], r["n1"]), (r["c2"], r["n2"])) if c and c not in own}
-        return Repairer(ChainMap({**more, **{r["word"]: (r["n"], r["c1"], r["c2"]) for r in rare}}, own), base.pairs, base.total, base.noise, base.doubtful)
+        offered = {c: (n, None, None) for r in rare for c, n in ((r["c1"], r["n1"]), (r["c2"], r["n2"]), *((o["word"], o["n"]) for o in r["more"])) if c and c not in own}
+        entries = {r["word"]: (r["n"], r["c1"], r["c2"], *(o["word"] for o in r["more"])) for r in rare}
+        return Repairer(ChainMap({**offered, **entries}, own), base.pairs, base.total, base.noise, base.doubtful)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = Repairer(shared.value[0], Pairs(np.zeros(0, np.int64), np.zeros(0, np.int64)), *shared.value[1:])
@@ -589,7 +600,20 @@ def repair(pages: DataFrame, keep_text: bool = True) -> DataFrame:
 
 #: What names a page, by two hashes of 64 bits.
 _PAGE = ("doc_id", "page_num", "raw_html", "markdown")
-_RARE = "array<struct<word: string, n: bigint, c1: string, n1: bigint, c2: string, n2: bigint>>"
+_OFFERS = "array<struct<word: string, n: bigint>>"
+_RARE = f"array<struct<word: string, n: bigint, c1: string, n1: bigint, c2: string, n2: bigint, more: {_OFFERS}>>"
+
+
+def _held() -> Column:
+    """What an entry of the lexicon counts for among those sent to the workers."""
+    return 1 + F.size("more")
+
+
+def _most_frequent(lexicon: DataFrame, size: int) -> DataFrame:
+    """The most frequent words, none passed over, that hold ``size`` words and further candidates at most."""
+    falling = [F.col("n").desc(), F.col("word")]
+    up_to = F.sum(_held()).over(Window.orderBy(*falling).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return lexicon.orderBy(*falling).limit(size).withColumn("up_to", up_to).where(F.col("up_to") <= size).drop("up_to")
 
 
 def _broken_words(left: str, right: str) -> list[str]:
@@ -627,7 +651,7 @@ def _with_rare_words(pages: DataFrame, lexicon: DataFrame, shared: object) -> Da
         return pd.Series([sorted(w for w in _needed_words(t, r, cache) if w not in cache) for t, r in zip(texts, raws)], dtype=object)
 
     needed = pages.select("k1", "k2", F.explode(missing("markdown", "raw_html")).alias("word")).distinct()
-    found = needed.join(lexicon, "word").groupBy("k1", "k2").agg(F.collect_list(F.struct("word", "n", "c1", "n1", "c2", "n2")).alias("rare"))
+    found = needed.join(lexicon, "word").groupBy("k1", "k2").agg(F.collect_list(F.struct("word", "n", "c1", "n1", "c2", "n2", "more")).alias("rare"))
     return pages.join(found, ["k1", "k2"], "left")
 
 

@@ -184,3 +184,70 @@ def test_frequencies_decide_not_sizes():
         r = sn.Repairer(lexicon, pairs, 40_000 * times, {})
         assert r.split_joined("ofthe") == ("of", "the") and r.split_joined("cannot") is None
         assert r.paragraph("of the har bour of the can not the.") == ("of the harbour of the can not the.", 1)
+
+
+def lexicon_of(spark, counts):
+    rows = sn.candidates(spark.createDataFrame(list(counts.items()), "word string, n bigint")).collect()
+    return {r["word"]: [(w, n) for w, n in ((r["c1"], r["n1"]), (r["c2"], r["n2"]), *map(tuple, r["more"])) if w] for r in rows}
+
+
+def test_all_candidates(spark):
+    """Every frequent word of the skeleton is offered; neither misreadings of the first nor barred accents take a place."""
+    counts = {"fall": 9000, "tail": 8000, "tall": 7000, "fail": 6000, "fáll": 900, "ta1l": 1, "cópia": 246, "copia": 634, "cópía": 1, "hostel": 6000, "hostcl": 8, "bostel": 5, "h0stel": 1}
+    found = lexicon_of(spark, counts)
+    assert found["ta1l"] == [("fall", 9000), ("tail", 8000), ("tall", 7000), ("fail", 6000), ("fáll", 900)]
+    assert found["cópía"] == [("cópia", 246)] and found["h0stel"] == found["hostcl"] == [("hostel", 6000)]
+    assert found["fall"] == found["fail"] == found["hostel"] == []
+
+
+def test_candidates_against_all_pairs(spark):
+    rng = random.Random(3)
+    counts = {"".join(rng.choices("hbéec8í1il", k=rng.choice((1, 2, 2, 3)))): int(10 ** rng.uniform(0, 6)) for _ in range(900)}
+    bare, dotless = str.maketrans(*sn._ACCENTS), str.maketrans("íìï", "iii")
+    sound: list[str] = []
+    expected = {}
+    for word, n in sorted(counts.items(), key=lambda x: (x[1], x[0]), reverse=True):
+        mixed = any(a.isdigit() != b.isdigit() for a, b in zip(word, word[1:])) and word not in ("8h", "1h", "81h", "18h", "88h", "11h", "8e", "1e", "81e", "18e", "88e", "11e")
+        least = sn.MIXED_RATIO * n if mixed else max(sn.RARE_RATIO * n, sn.RATIO * (n - np.sqrt(n)))
+        expected[word] = [
+            (c, counts[c]) for c in sound
+            if len(word) > 1 and not word.isdigit() and sn.skeleton(c) == sn.skeleton(word) and counts[c] >= least and (c.translate(bare) != word.translate(bare) or c.translate(dotless) == word.translate(dotless))
+        ]
+        if not expected[word] and n >= sn.MIN_KNOWN and not any(map(str.isdigit, word)):
+            sound.append(word)
+    assert max(map(len, expected.values())) > 4
+    assert lexicon_of(spark, counts) == expected
+
+
+CHOICES = [
+    page(1000 + k, text) for k, text in enumerate([
+        *["Every autumn the leaves fall quietly beside the old garden wall."] * 40, *["Three ships with tall masts were lying there all winter long."] * 32,
+        *["Old engines often fail without any warning on cold mornings."] * 26, *["The fox carried its bushy tail above the frozen grass."] * 20,
+    ])
+]
+
+
+def test_fourth_candidate_is_read(spark, monkeypatch):
+    df = corpus(spark, [*CHOICES, page(40, "The fox carried its bushy ta1l above the frozen grass."), page(41, "Old engines often fa1l without any warning on cold mornings.")])
+    whole = {(r["doc_id"], r["page_num"]): tuple(r) for r in sn.repair(df).collect()}
+    assert whole["x", 40][3:] == (1, 0, "The fox carried its bushy tail above the frozen grass.")
+    assert whole["x", 41][3:] == (1, 0, "Old engines often fail without any warning on cold mornings.")
+    for words_sent, pairs_sent in ((3, 10**6), (30, 0), (60, 10**6)):
+        monkeypatch.setattr(sn, "CACHE_WORDS", words_sent)
+        monkeypatch.setattr(sn, "CACHE_PAIRS", pairs_sent)
+        assert {(r["doc_id"], r["page_num"]): tuple(r) for r in sn.repair(df).collect()} == whole
+
+
+def test_further_candidates_count_in_the_broadcast(spark):
+    counts = {"the": 10**6, "fall": 9000, "tail": 8000, "tall": 7000, "fail": 6000, "ta1l": 500, "table": 400, "ta11": 100}
+    lexicon = sn.candidates(spark.createDataFrame(list(counts.items()), "word string, n bigint"))
+    sent = {size: [r["word"] for r in sn._most_frequent(lexicon, size).collect()] for size in (2, 5, 7, 8, 100)}
+    assert sent[2] == ["the", "fall"] and sent[5] == sent[7] == ["the", "fall", "tail", "tall", "fail"] and sent[8] == [*sent[7], "ta1l"] and len(sent[100]) == len(counts)
+
+
+@pytest.mark.parametrize("words", [["the", "1edger"], ["the", "1edger", "stands"], ["1edger", "lcdger"], ["a", "1edger", "for"]])
+def test_candidates_with_candidates_never_win(words):
+    known = {"the": (900, None, None), "stands": (50, None, None), "ledger": (500, None, None), "leader": (450, None, None), "lcdger": (9, "ledger", None)}
+    pairs = sn.Pairs.of({("the", "lcdger"): 9, ("lcdger", "stands"): 9, ("the", "leader"): 40, ("", "leader"): 3, ("a", "lcdger"): 5})
+    decoded = [sn.Repairer(known | {"1edger": (1, *offers)}, pairs, 3000, {("l", "1"): -7.0, ("dg", "ad"): -5.0}).decode(words) for offers in (("ledger", "lcdger", "leader"), ("ledger", "leader"))]
+    assert decoded[0] == decoded[1]
