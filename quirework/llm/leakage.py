@@ -3,8 +3,9 @@
 Passages and questions of the items are units; equal ones are one unit. Every five consecutive words of a unit are a
 seed, hashed as Karp-Rabin does; five are few enough that no qualifying run can lack one (a run of 15 words or more in
 which one word in eight is changed has five unchanged words in a row somewhere). Documents and units are joined on
-seeds; where they share one, they are tiled by running Karp-Rabin: the longest common runs of unmarked words are
-marked first, then shorter ones, down to two words.
+seeds; where they share one, they are tiled: the longest common runs of unmarked words are marked first, then shorter
+ones, down to two words. The runs come from one search of the shared pairs of words, or, where these are many, from
+running Karp-Rabin.
 
 How much of the unit the tiles cover decides. A unit is given away
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -46,6 +48,8 @@ COVERED = 0.5
 BLOCK_CHARS = 20_000_000
 #: Words that a match must have for the first marking; longer ones are met at the same time.
 FIRST_SEARCH = 20
+#: Pairs of equal windows up to which all tiles are found from one search; more are searched for by width.
+FEW_PAIRS = 1 << 16
 #: Bits of the filter of seeds, as a power of two: 8 MB.
 FILTER_BITS = 26
 #: A document's units are compared with it in at most so many groups.
@@ -62,6 +66,8 @@ UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ff
 _WORD = re.compile(rf"[{UNSPACED}]|[^\W_{UNSPACED}]+")
 _SPACED_WORD = re.compile(r"[^\W_]+")
 _SIGN = re.compile(f"[{UNSPACED}]")
+#: What _SPACED_WORD takes for a word in lower-cased ASCII, and blanks for the rest.
+_ASCII_WORDS = "".join(c if c.isalnum() else " " for c in map(chr, range(128)))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -79,7 +85,9 @@ def words_of(text: str | None) -> list[str]:
     if "&" in text:
         text = _REFERENCE.sub(" ", text)
     text = text.lower()
-    return (_SPACED_WORD if text.isascii() or not _SIGN.search(text) else _WORD).findall(text)
+    if text.isascii():
+        return text.translate(_ASCII_WORDS).split()
+    return (_WORD if _SIGN.search(text) else _SPACED_WORD).findall(text)
 
 
 class Units:
@@ -101,15 +109,15 @@ class Units:
         self.hashes, self.unit, self.position = flat[order], place[0][order], place[1][order]
 
 
-def seed_hashes(ids: np.ndarray) -> np.ndarray:
-    """Rolling hash of every SEED_WORDS consecutive word ids."""
+def seed_hashes(ids: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Rolling hash of every SEED_WORDS consecutive word ids, or of those that begin ``at`` some places."""
     n = len(ids) - SEED_WORDS + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+    out = np.zeros(n if at is None else len(at), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(SEED_WORDS):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + n].astype(np.uint64)
+            out = out * np.uint64(0x9E3779B97F4A7C15) + (ids[k : k + n] if at is None else ids[at + k]).astype(np.uint64)
             out ^= out >> np.uint64(32)
     return out
 
@@ -155,15 +163,74 @@ def _extended(text: np.ndarray, unit: np.ndarray, used_text: np.ndarray, used_un
     return length if length >= width else 0
 
 
+def _common_runs(text: np.ndarray, unit: np.ndarray, width: int) -> list[tuple[int, int, int]] | None:
+    """(-length, position in text, position in unit) of all longest common runs of ``width`` or more; None if there are too many."""
+    n_text, n_unit = len(text) - width + 1, len(unit) - width + 1
+    keys, own = np.zeros(n_text, np.uint64), np.zeros(n_unit, np.uint64)
+    for k in range(width):
+        keys = keys * np.uint64(_BASE) + text[k : k + n_text].view(np.uint64)
+        own = own * np.uint64(_BASE) + unit[k : k + n_unit].view(np.uint64)
+    order = own.argsort(kind="stable")
+    own = own[order]
+    first = own.searchsorted(keys)
+    n = own.searchsorted(keys, "right") - first
+    total = int(n.sum())
+    if not total:
+        return []
+    if total > FEW_PAIRS:
+        return None
+    i = np.arange(n_text).repeat(n)
+    j = order[np.arange(total) + (first - np.cumsum(n) + n).repeat(n)]
+    same = text[i] == unit[j]
+    for k in range(1, width):
+        same &= text[i + k] == unit[j + k]
+    # Pairs that follow each other on a diagonal are one run; diagonals are further apart than a text is long.
+    place = np.sort((i[same] - j[same]) * (len(text) + len(unit)) + i[same])
+    if not len(place):
+        return []
+    begin = np.flatnonzero(np.diff(place, prepend=place[0] - 2) != 1)
+    length = np.diff(begin, append=len(place)) + width - 1
+    shift, at = np.divmod(place[begin], len(text) + len(unit))
+    return list(zip((-length).tolist(), at.tolist(), (at - shift).tolist()))
+
+
+def _marked(runs: list[tuple[int, int, int]], n_text: int, n_unit: int, shortest: int) -> list[tuple[int, int, int]]:
+    """Tiles made of all common runs: the longest are marked first, what earlier marks cut short comes again."""
+    used_text, used_unit, found = bytearray(n_text), bytearray(n_unit), []
+    heapify(runs)
+    while runs:
+        length, i, j = heappop(runs)
+        length = -length
+        in_text, in_unit = used_text[i : i + length], used_unit[j : j + length]
+        if 1 not in in_text and 1 not in in_unit:
+            used_text[i : i + length] = used_unit[j : j + length] = b"\1" * length
+            found.append((i, j, length))
+            continue
+        at = 0
+        for k in range(length + 1):
+            if k == length or in_text[k] or in_unit[k]:
+                if k - at >= shortest:
+                    heappush(runs, (at - k, i + at, j + at))
+                at = k + 1
+    return sorted(found)
+
+
 def tiles(text: list[int] | np.ndarray, unit: list[int] | np.ndarray, shortest: int = MIN_TILE) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (position in text, position in unit, length) of the longest non-overlapping common runs.
 
-    By running Karp-Rabin: all unmarked windows of a width are compared by rolling hashes and matches are extended; the
-    longest are marked first. What earlier marks cut short comes again. Then the width is halved.
+    Where few windows of the shortest width are equal, all common runs are known from one search. Else by running
+    Karp-Rabin: all unmarked windows of a width are compared by rolling hashes and matches are extended; the longest are
+    marked first. What earlier marks cut short comes again. Then the width is halved. Both ways give the same tiles.
     """
     text, unit = np.asarray(text, np.int64), np.asarray(unit, np.int64)
     if len(text) < shortest or len(unit) < shortest:
         return []
+    runs = _common_runs(text, unit, shortest)
+    return _tiles_by_width(text, unit, shortest) if runs is None else _marked(runs, len(text), len(unit), shortest)
+
+
+def _tiles_by_width(text: np.ndarray, unit: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
+    """Tiles by running Karp-Rabin."""
     roll_text, roll_unit, longest = _Rolling(text), _Rolling(unit), max(len(text), len(unit))
     used_text, used_unit = np.zeros(len(text), bool), np.zeros(len(unit), bool)
     found: list[tuple[int, int, int]] = []
@@ -298,7 +365,7 @@ def scan(texts: Iterable[list[str]], units: Units, measured: bool = True) -> lis
     ids = np.array(flat, np.int64)
     known = (ids > 0).astype(np.int8)
     full = np.flatnonzero(sum(known[k : len(ids) - SEED_WORDS + 1 + k] for k in range(SEED_WORDS)) == SEED_WORDS)
-    hashes = seed_hashes(ids)[full]
+    hashes = seed_hashes(ids, full)
     at = np.searchsorted(units.hashes, hashes)
     at[at == len(units.hashes)] = 0
     hit = units.hashes[at] == hashes

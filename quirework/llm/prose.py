@@ -7,7 +7,7 @@ import re
 _FENCED = re.compile(r"^(```+|~~~+)[^\n]*\n.*?(?:^\1[ \t]*$|\Z)", re.M | re.S)
 _TABLE = re.compile(r"<table\b.*?</table>", re.S)
 _FORMULA = re.compile(r"\$\$.+?\$\$", re.S)
-_OTHER_LINE = re.compile(r"#{1,6} |[ \t]*[-*+] |[ \t]*\d{1,3}[.)] |!\[[^\]\n]*\]\([^()\n]*\)[ \t]*$|\d*-{20,}[ \t]*$|[^\n]*\.{4,}|\{\||\|[-}]|[!|] |[ \t]*\\(?:begin|end|item)\b")
+_OTHER_LINE = re.compile(r"#{1,6} |[ \t]*[-*+] |[ \t]*\d{1,3}[.)] |!\[[^\]\n]*\]\([^()\n]*\)[ \t]*$|\d*-{20,}[ \t]*$|\{\||\|[-}]|[!|] |[ \t]*\\(?:begin|end|item)\b")
 _SIGNS = re.compile(r"[<\[\]`*~$\\&]")
 _DROP_SIMPLE = re.compile(r"(?<![\\\w])\$(?=\S)[^$\n]{1,120}\$|<!--.*?-->|</?[a-zA-Z][^<>]*>|!?\[(?=[^\[\]\n]*\]\()|\]\([^()\s]*\)|(?<!\\)[\[\]`*~]|\\(?=[^\w\s])|&[a-z#0-9]{2,8};", re.S)
 _HYPHEN = re.compile(r"(\w)[-­¬‐]\s*\n\s*(?=\w)")
@@ -16,6 +16,11 @@ _SENTENCE = re.compile(r"(?<=[.!?…])[\"'»”’)]*\s+(?=\S)")
 _CLOSED = re.compile(r"[.!?…][\"'»”’)]*$")
 
 
+def _is_other(line: str) -> bool:
+    """Whether a line is no running text; leaders of four dots or more are enough."""
+    return "...." in line or _OTHER_LINE.match(line) is not None
+
+
 def paragraphs(markdown: str) -> list[str]:
     """Paragraphs of running text, each on one line."""
     text = markdown
@@ -28,13 +33,13 @@ def paragraphs(markdown: str) -> list[str]:
     out = []
     for block in _PARAGRAPH.split(text):
         if "\n" not in block:
-            if _OTHER_LINE.match(block):
+            if _is_other(block):
                 continue
             _add(out, block)
             continue
         kept: list[str] = []
         for line in block.split("\n"):
-            if _OTHER_LINE.match(line):
+            if _is_other(line):
                 _add(out, "\n".join(kept))
                 kept = []
             else:

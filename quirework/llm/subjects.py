@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -67,13 +67,13 @@ def _without_leaks(pages: list[list[list[str]]], block: leakage.Units) -> list[l
     for doc, found in leaked.items():
         kept = []
         for words in pages[doc]:
-            ids = [block.vocabulary.get(w, 0) for w in words]
+            ids = np.fromiter(map(block.vocabulary.get, words, repeat(0)), np.int64, len(words))
             pasted = np.zeros(len(words), bool)
             if np.count_nonzero(ids) < leakage.SEED_WORDS:
                 kept.append(words)
                 continue
             for unit in found:
-                for i, _, n in leakage.tiles(np.array(ids), block.ids[unit], leakage.SEED_WORDS - 1):
+                for i, _, n in leakage.tiles(ids, block.ids[unit], leakage.SEED_WORDS - 1):
                     pasted[i : i + n] = True
             if pasted.any():
                 # What lies between two pasted stretches close to each other is pasted too, with changes.
@@ -123,14 +123,13 @@ def features(documents: DataFrame, items: DataFrame | None) -> DataFrame:
                 pages = _without_leaks(pages, shared.value)
             elif "pasted" in part:
                 pages = [page if own is None else _without_leaks([page], leakage.Units(list(own), list(own)))[0] for page, own in zip(pages, part["pasted"])]
+            found = np.fromiter(map(buckets.__getitem__, chain.from_iterable(chain.from_iterable(pages))), np.int32)
+            at = 0
             for doc, page in zip(part["doc_id"].tolist(), pages):
-                words, ends = [], []
-                for paragraph in page:
-                    words += map(buckets.__getitem__, paragraph)
-                    if paragraph:
-                        ends.append(len(words))
-                if ends:
-                    rows.append((doc, np.array(words, np.int32), np.array(ends, np.int32)))
+                ends = np.fromiter(accumulate(filter(None, map(len, page))), np.int32)
+                if len(ends):
+                    rows.append((doc, found[at : at + ends[-1]], ends))
+                    at += int(ends[-1])
             if len(buckets) > 1_000_000:
                 buckets.clear()
             yield pd.DataFrame(rows, columns=["doc_id", "words", "ends"])
@@ -168,7 +167,7 @@ class Model:
 
     def judge(self, batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores and posterior of every paragraph of a batch, and every document's shares of the subjects."""
-        scores = np.add.reduceat(self.weight[batch.words], batch.begins, axis=0).astype(np.float64)
+        scores = np.add.reduceat(self.weight.take(batch.words, axis=0), batch.begins, axis=0).astype(np.float64)
         like = scores / self.scale
         like = np.exp(like - like.max(axis=1, keepdims=True))
         part = batch.size / np.add.reduceat(batch.size, batch.first)[batch.owner]
@@ -188,12 +187,13 @@ class Batch:
     def __init__(self, part: pd.DataFrame) -> None:
         words, ends = part["words"].tolist(), part["ends"].tolist()
         self.words = np.concatenate(words)
-        sizes = [np.diff(e, prepend=0) for e in ends]
-        self.size = np.concatenate(sizes).astype(np.int64)
-        self.begins = np.concatenate([[0], np.cumsum(self.size)[:-1]])
-        count = np.array([len(x) for x in sizes])
+        count = np.array([len(e) for e in ends])
         self.owner = np.repeat(np.arange(len(count)), count)
         self.first = np.concatenate([[0], np.cumsum(count)[:-1]])
+        flat = np.concatenate(ends).astype(np.int64)
+        self.size = np.diff(flat, prepend=0)
+        self.size[self.first] = flat[self.first]
+        self.begins = np.concatenate([[0], np.cumsum(self.size)[:-1]])
 
 
 def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Batch]]:
@@ -257,7 +257,7 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
 
         def expected(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             known_model = shared.value
-            acc, total = np.zeros((BUCKETS, len(known_model.subjects))), 0.0
+            acc, total = np.zeros((BUCKETS, len(known_model.subjects)), order="F"), 0.0  # as expected_counts lays them out
             for _, batch in _batches(batches):
                 scores, post, theta = known_model.judge(batch)
                 acc += expected_counts(batch, post)
@@ -277,7 +277,8 @@ def train(feats: DataFrame, labels: DataFrame, subjects: DataFrame) -> Model:
 
 def expected_counts(batch: Batch, post: np.ndarray) -> np.ndarray:
     """Expected word counts of every subject (BUCKETS rows), given the posteriors of the paragraphs."""
-    return np.stack([np.bincount(batch.words, np.repeat(own, batch.size), minlength=BUCKETS) for own in post.T], axis=1)
+    words = batch.words.astype(np.intp)
+    return np.stack([np.bincount(words, np.repeat(own, batch.size), minlength=BUCKETS) for own in post.T]).T
 
 
 def likelihood(like: np.ndarray, prior: np.ndarray) -> float:

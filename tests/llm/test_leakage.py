@@ -185,3 +185,29 @@ def test_verdicts_need_no_measure():
         texts.append([*rng.choices(vocabulary, k=15), *copy, *rng.choices(vocabulary, k=15)])
     whole, quick = ({(d, u) for d, u, run, stretch, _ in lk.scan(texts, units, m) if max(run, stretch) >= lk.RUN_WORDS} for m in (True, False))
     assert whole == quick and whole
+
+
+def test_tiles_from_one_search_and_by_width(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(400):
+        kinds = rng.choice([1, 2, 4, 30])
+        text, unit = ([rng.randint(low, kinds) for _ in range(rng.randint(0, 50))] for low in (0, 1))
+        for shortest in (2, 4):
+            with monkeypatch.context() as m:
+                at_once = lk.tiles(text, unit, shortest)
+                m.setattr(lk, "FEW_PAIRS", -1)
+                by_width = lk.tiles(text, unit, shortest)
+            assert at_once == by_width
+    words = rng.choices(range(1, 200), k=300)
+    with monkeypatch.context() as m:  # few pairs: no search by width
+        m.setattr(lk, "_Rolling", None)
+        assert lk.tiles(words, list(range(300, 400))) == [] and (20, 0, 60) in lk.tiles(words, words[20:80])
+    assert lk.tiles([1] * 3000, [1] * 400) == [(0, 0, 400)]  # many pairs
+
+
+def test_words_are_those_of_the_pattern():
+    rng = random.Random(6)
+    signs = [c for c in map(chr, range(128)) if c not in "-[]{}<>&\\"] + list("Kİßé山")
+    for _ in range(3000):
+        text = "".join(rng.choices(signs, k=12))
+        assert lk.words_of(text) == lk._WORD.findall(text.lower())
